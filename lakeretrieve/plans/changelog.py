@@ -116,8 +116,10 @@ class ChangeLog:
         rows.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return batch
 
-    def put(self, rows: DataFrame, order: Column | str = F.lit(0), ts: Column | None = None, batch: int | None = None) -> int:
+    def put(self, rows: DataFrame, order: Column | str | None = None, ts: Column | None = None, batch: int | None = None) -> int:
         """Append puts. ``order`` ranks duplicates of a key within the batch."""
+        if order is None:
+            order = F.lit(0)
         order = F.col(order) if isinstance(order, str) else order
         stamped = rows.select(
             *self.keys,

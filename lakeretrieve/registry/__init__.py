@@ -5,7 +5,13 @@ Importing this package fills :data:`QUERIES` and :data:`ORACLES`.
 
 from lakeretrieve.registry.base import ORACLES, QUERIES, Tables
 from lakeretrieve.registry import (  # noqa: F401  (imported for their entries)
+    fulltext,
+    hybrid,
+    keyed,
     vectors,
+    fulltext,
+    hybrid,
+    keyed,
     vectors,
 )
 
