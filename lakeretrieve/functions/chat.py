@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from lakeretrieve.functions.metadata import is_json
+
 # Control characters that a stored message must not hold
 # (tab, line feed and carriage return stay).
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"
@@ -36,7 +38,7 @@ def message_json(kind: Column, content: Column) -> Column:
 
 def parse_message(message: Column) -> Column:
     """``struct(type, content)``, null when the text does not parse."""
-    parsed = F.try_parse_json(F.nullif(message, F.lit("")))
+    parsed = F.when(is_json(message), F.try_parse_json(message))
     kind = F.try_variant_get(parsed, "$.type", "string")
     return F.when(
         parsed.isNotNull() & kind.isNotNull(),

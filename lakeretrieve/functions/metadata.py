@@ -12,19 +12,28 @@ def metadata_text(metadata: Column) -> Column:
     return F.coalesce(metadata, F.lit(EMPTY_JSON))
 
 
+def is_json(text: Column) -> Column:
+    """Whether the whole text is one JSON value; null and empty text are not.
+
+    The parsers stop after the first value and accept whatever follows it, so
+    the text is tested inside an array and inside an object: a stray closing
+    sign of either kind breaks one of the two.
+    """
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    in_object = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
+    return F.coalesce(in_array & in_object, F.lit(False))
+
+
 def parse_metadata(metadata: Column) -> Column:
     """Metadata as VARIANT; empty, null and unparsable text become ``{}``."""
     return F.coalesce(
-        F.try_parse_json(F.nullif(metadata, F.lit(""))),
-        F.parse_json(F.lit(EMPTY_JSON)),
+        F.when(is_json(metadata), F.try_parse_json(metadata)), F.parse_json(F.lit(EMPTY_JSON))
     )
 
 
 def clean_metadata(metadata: Column) -> Column:
     """Metadata text that is certain to parse."""
-    return F.when(
-        F.try_parse_json(F.nullif(metadata, F.lit(""))).isNotNull(), metadata
-    ).otherwise(F.lit(EMPTY_JSON))
+    return F.when(is_json(metadata), metadata).otherwise(F.lit(EMPTY_JSON))
 
 
 def json_path(key: str) -> str:

@@ -5,13 +5,23 @@ Importing this package fills :data:`QUERIES` and :data:`ORACLES`.
 
 from lakeretrieve.registry.base import ORACLES, QUERIES, Tables
 from lakeretrieve.registry import (  # noqa: F401  (imported for their entries)
+    blobs,
+    chat,
     fulltext,
     hybrid,
     keyed,
+    rag,
+    sqlsurface,
+    streams,
     vectors,
+    blobs,
+    chat,
     fulltext,
     hybrid,
     keyed,
+    rag,
+    sqlsurface,
+    streams,
     vectors,
 )
 

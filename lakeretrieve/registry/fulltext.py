@@ -180,7 +180,7 @@ def add_and_delete(t: Tables):
 @query(
     "t11_parse_metadata",
     """SELECT event_id AS id, CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'click' THEN NULL
-         ELSE json_extract_string(props, '$.k')::INTEGER END AS k,
+         ELSE json_extract_string(props, '$.k') END AS k,
          CASE WHEN event_type IN ('view', 'click') THEN '{}' ELSE props END AS cleaned FROM events""",
 )
 def metadata(t: Tables):
@@ -192,6 +192,6 @@ def metadata(t: Tables):
     rows = t.read("events").select(F.col("event_id").alias("id"), broken.alias("metadata"))
     return rows.select(
         "id",
-        F.try_variant_get(parse_metadata(F.col("metadata")), "$.k", "int").alias("k"),
+        F.try_variant_get(parse_metadata(F.col("metadata")), "$.k", "string").alias("k"),
         clean_metadata(F.col("metadata")).alias("cleaned"),
     )
