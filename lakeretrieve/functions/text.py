@@ -76,9 +76,20 @@ def tokens_match(mode: str, tokens: Column, query_tokens: Column) -> Column:
 
 
 def match(mode: str, text: Column, query: Column | str, analyzer: str = DEFAULT_ANALYZER) -> Column:
-    """``match`` of a text column with one query under the named mode."""
-    query_column = F.lit(query) if isinstance(query, str) else query
-    return tokens_match(mode, tokenize(text, analyzer), tokenize(query_column, analyzer))
+    """``match`` of a text column with one query under the named mode.
+
+    A query given as text is tested as substrings first, so that texts which
+    cannot match are not tokenised.
+    """
+    if not isinstance(query, str):
+        return tokens_match(mode, tokenize(text, analyzer), tokenize(query, analyzer))
+    asked = tokenize(F.lit(query), analyzer)
+    exact = tokens_match(mode, tokenize(text, analyzer), asked)
+    if analyzer.lower() == "keyword":
+        return exact
+    lowered = F.lower(text)
+    some = F.exists if match_mode(mode) == "any" else F.forall
+    return some(asked, lambda word: F.contains(lowered, word)) & exact
 
 
 def match_phrase(text: Column, query: Column | str, analyzer: str = DEFAULT_ANALYZER) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakeretrieve.functions.metadata import metadata_filter
-from lakeretrieve.functions.text import DEFAULT_ANALYZER, match, tokenize
-from lakeretrieve.plans.postings import build_postings, query_terms, search_postings
+from lakeretrieve.functions.text import DEFAULT_ANALYZER, match
+from lakeretrieve.plans.postings import build_postings, query_vocabulary, search_postings
 
 
 def matching(corpus: DataFrame, query: str, mode: str = "phrase", analyzer: str = DEFAULT_ANALYZER) -> DataFrame:
@@ -41,21 +41,15 @@ def search_batch(
 ) -> DataFrame:
     """``(qid, rank, id, score)`` for a table of query texts.
 
-    Without stored postings, only the query terms are indexed on the fly: the
-    tokens of the corpus are cut to the query vocabulary before any shuffle.
+    Without stored postings the corpus is analysed on the fly and cut to the
+    query vocabulary before any shuffle.
     """
     if conditions:
         corpus = corpus.filter(metadata_filter(F.col("metadata"), conditions))
         if postings is not None:
             postings = postings.join(corpus.select("id"), "id", "left_semi")
     if postings is None:
-        vocabulary = query_terms(queries, analyzer).select("term").distinct()
-        tokens = corpus.select("id", F.posexplode(tokenize(F.col("content"), analyzer)).alias("pos", "term"))
-        postings = (
-            tokens.join(vocabulary, "term", "left_semi")
-            .groupBy("term", "id")
-            .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-        )
+        postings = query_vocabulary(corpus, queries, mode, analyzer)
     return search_postings(postings, queries, k, mode, analyzer)
 
 

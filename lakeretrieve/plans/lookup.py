@@ -6,10 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# Hits up to this many rows (id, query id, scores) are shipped to every task.
+# Narrow tables (ids, terms, scores) up to this many rows are shipped to tasks.
 BROADCAST_ROWS = 500_000
 
 
+def shipped(df: DataFrame, most_rows: int) -> DataFrame:
+    """Broadcast a table whose proven row bound is within the limit."""
+    return F.broadcast(df) if most_rows <= BROADCAST_ROWS else df
+
+
 def fetch_rows(hits: DataFrame, table: DataFrame, columns: Sequence[str], most_rows: int) -> DataFrame:
     """Hits with columns of ``table``, joined on ``id``.
 
@@ -17,5 +22,4 @@ def fetch_rows(hits: DataFrame, table: DataFrame, columns: Sequence[str], most_r
     the hits are broadcast and the table is scanned once without a shuffle;
     beyond it both sides are shuffled on the id.
     """
-    small = F.broadcast(hits) if most_rows <= BROADCAST_ROWS else hits
-    return table.select("id", *columns).join(small, "id", "inner")
+    return table.select("id", *columns).join(shipped(hits, most_rows), "id", "inner")

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakeretrieve.functions.vectors import metric_kind
+from lakeretrieve.plans.spread import spread
 from lakeretrieve.plans.topk import top_per_group
 
 # Largest query block shipped to every executor, and rows per tile beyond it.
@@ -295,7 +296,7 @@ def nearest(
     if layout == "auto":
         layout = "broadcast" if size["n"] * (dim + 16) * 8 <= broadcast_bytes else "tiles"
     if layout == "broadcast":
-        found = _broadcast_layout(usable, queries, probes, dim, kind, k, below, out)
+        found = _broadcast_layout(spread(usable), queries, probes, dim, kind, k, below, out)
     else:
         found = _tile_layout(usable, queries, probes, size["n"], dim, kind, k, below, out, tile_rows)
     ranked = top_per_group(found, ["qid"], [F.col("distance"), F.col("id")], k)

@@ -1,37 +1,49 @@
-"""Inverted index: ``(term, id, positions)`` rows, and searches on it.
+"""Inverted index: ``(term, id, pos)`` rows, and searches on it.
 
-One row holds the positions of a term in one document, so its size is bounded
-by the document. The stored table is partitioned by term bucket; a frequent
-term is spread over ``salts`` files inside its bucket.
+Building needs no shuffle but the one that lays the table out: rows go to term
+buckets, and a frequent term is spread over ``salts`` files of its bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeretrieve.functions.text import DEFAULT_ANALYZER, match_mode, tokenize
+from lakeretrieve.plans.lookup import shipped
+from lakeretrieve.plans.spread import spread
 from lakeretrieve.plans.topk import top_per_group
+from lakeretrieve.session import materialise
 
 BUCKETS = 64
 SALTS = 16
+# Distinct query words up to this number become a filter of the index scan.
+FEW_TERMS = 100
 
 
-def term_bucket(term: str = "term", buckets: int = BUCKETS):
+def term_bucket(term: str = "term", buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def build_postings(corpus: DataFrame, analyzer: str = DEFAULT_ANALYZER, text: str = "content") -> DataFrame:
-    """``(term, id, positions)`` of every token of every document."""
-    tokens = corpus.select("id", F.posexplode(tokenize(F.col(text), analyzer)).alias("pos", "term"))
-    return tokens.groupBy("term", "id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    """``(term, id, pos)`` of every token of every document."""
+    rows = spread(corpus.select("id", text))
+    return rows.select(F.posexplode(tokenize(F.col(text), analyzer)).alias("pos", "term"), "id").select(
+        "term", "id", "pos"
+    )
+
 
+def write_postings(
+    postings: DataFrame, path: str, mode: str = "overwrite", buckets: int = BUCKETS, salts: int = SALTS
+) -> None:
+    """Store postings by term bucket; salts keep a hot term out of one task.
 
-def write_postings(postings: DataFrame, path: str, mode: str = "overwrite", buckets: int = BUCKETS, salts: int = SALTS) -> None:
-    """Store postings by term bucket; salts keep a hot term out of one task."""
+    Rows are sorted by term inside a file, so that a search for a few terms
+    skips most row groups of the buckets it opens.
+    """
     (
         postings.withColumn("bucket", term_bucket("term", buckets))
         .repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)))
-        .sortWithinPartitions("bucket", "term", "id")
+        .sortWithinPartitions("bucket", "term", "id", "pos")
         .write.mode(mode)
         .partitionBy("bucket")
         .parquet(path)
@@ -39,84 +51,99 @@ def write_postings(postings: DataFrame, path: str, mode: str = "overwrite", buck
 
 
 def query_terms(queries: DataFrame, analyzer: str = DEFAULT_ANALYZER) -> DataFrame:
-    """``(qid, qpos, term, n_terms)`` for each token of each query text."""
+    """``(qid, n_terms, qpos, term)`` for each token of each query text."""
     return queries.select("qid", tokenize(F.col("query"), analyzer).alias("tokens")).select(
         "qid", F.size("tokens").alias("n_terms"), F.posexplode("tokens").alias("qpos", "term")
     )
 
 
-def _any_match(postings: DataFrame, terms: DataFrame, k: int | None) -> DataFrame:
+def _pruned(postings: DataFrame, terms: DataFrame, buckets: int | None) -> DataFrame:
+    """Stored postings cut to the buckets, and few terms, that are asked for.
+
+    At most ``buckets`` numbers or ``FEW_TERMS`` words reach the driver; they
+    become partition and row-group filters of the scan.
+    """
+    if buckets is None or "bucket" not in postings.columns:
+        return postings
+    asked = terms.select(term_bucket("term", buckets).alias("b")).distinct().collect()
+    postings = postings.filter(F.col("bucket").isin([row.b for row in asked]))
+    words = terms.select("term").distinct().limit(FEW_TERMS + 1).collect()
+    if len(words) <= FEW_TERMS:
+        postings = postings.filter(F.col("term").isin([row.term for row in words]))
+    return postings
+
+
+def _any_match(postings: DataFrame, terms: DataFrame, n: int, k: int | None) -> DataFrame:
     wanted = terms.select("qid", "term").distinct()
-    rows = postings.select("term", "id")
+    vocabulary = shipped(wanted.select("term").distinct(), n)
+    rows = postings.select("term", "id").join(vocabulary, "term", "left_semi").distinct()
     if k is not None:
         # The k smallest ids of a query are among the k smallest of its terms.
-        rows = rows.join(wanted.select("term").distinct(), "term", "left_semi")
         rows = top_per_group(rows, ["term"], [F.col("id")], k).drop("rank")
-    return rows.join(wanted, "term").select("qid", "id").distinct()
+    return rows.join(shipped(wanted, n), "term").select("qid", "id").distinct()
 
 
-def _all_match(postings: DataFrame, terms: DataFrame, phrase: bool) -> DataFrame:
+def _all_match(postings: DataFrame, terms: DataFrame, n: int, phrase: bool) -> DataFrame:
     """Documents with every term, found from the rarest term of each query.
 
-    Only documents holding the rarest term are candidates. The other terms are
-    looked up by (term, id), a join key without heavy values.
+    Only places of the rarest term are candidates. The other terms are then
+    looked up by (term, id) or, in a phrase, by (term, id, pos): join keys
+    without heavy values, whatever the frequency of a term. The lookups are
+    written first, so that their size decides how the join is done.
     """
-    vocabulary = terms.select("term").distinct()
+    vocabulary = shipped(terms.select("term").distinct(), n)
     frequency = (
-        postings.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        postings.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("frequency"))
     )
     if not phrase:
         terms = terms.groupBy("qid", "term").agg(F.min("qpos").alias("qpos"))
-    known = terms.join(frequency, "term", "left")
     anchors = (
-        known.groupBy("qid")
+        terms.join(shipped(frequency, n), "term", "left")
+        .groupBy("qid")
         .agg(
             F.count(F.lit(1)).alias("n_terms"),
-            F.count("df").alias("n_known"),
-            F.min(F.struct("df", "qpos", "term")).alias("rarest"),
+            F.count("frequency").alias("n_known"),
+            F.min(F.struct("frequency", "qpos", "term")).alias("rarest"),
         )
         # A term that no document holds leaves the query without a match.
         .filter(F.col("n_terms") == F.col("n_known"))
         .select("qid", "n_terms", F.col("rarest.term").alias("term"), F.col("rarest.qpos").alias("anchor"))
     )
-    candidates = postings.join(anchors, "term").select(
-        "qid",
-        "id",
-        "n_terms",
-        "anchor",
-        F.transform("positions", lambda p: p - F.col("anchor")).alias("starts"),
-    )
-    single = candidates.filter(F.col("n_terms") == 1).select("qid", "id")
-    others = (
-        candidates.filter(F.col("n_terms") > 1)
-        .join(terms.select("qid", "qpos", "term"), "qid")
-        .filter(F.col("qpos") != F.col("anchor"))
-    )
-    found = others.join(postings, ["term", "id"])
-    if not phrase:
-        complete = (
-            found.groupBy("qid", "id")
-            .agg(F.count(F.lit(1)).alias("hits"), F.max("n_terms").alias("n_terms"))
-            .filter(F.col("hits") == F.col("n_terms") - 1)
-        )
+    at_anchor = postings.join(shipped(anchors, n), "term")
+    if phrase:
+        place = ["qid", "id", "start"]
+        candidates = at_anchor.select("qid", "id", "n_terms", "anchor", (F.col("pos") - F.col("anchor")).alias("start"))
     else:
-        # A start position survives when every other term stands at its offset.
-        aligned = found.select(
-            "qid",
-            "id",
-            "n_terms",
-            F.explode(
-                F.array_intersect("starts", F.transform("positions", lambda p: p - F.col("qpos")))
-            ).alias("start"),
-        )
-        complete = (
-            aligned.groupBy("qid", "id", "start")
-            .agg(F.count(F.lit(1)).alias("hits"), F.max("n_terms").alias("n_terms"))
-            .filter(F.col("hits") == F.col("n_terms") - 1)
-            .select("qid", "id")
-            .distinct()
-        )
-    return complete.select("qid", "id").unionByName(single)
+        place = ["qid", "id"]
+        candidates = at_anchor.select("qid", "id", "n_terms", "anchor").distinct()
+    # One row per term of a candidate; the anchor's own row needs no lookup.
+    lookups = materialise(candidates.join(shipped(terms.select("qid", "qpos", "term"), n), "qid"), "lookups")
+    single = lookups.filter(F.col("n_terms") == 1).select("qid", "id")
+    others = lookups.filter(F.col("qpos") != F.col("anchor"))
+    if phrase:
+        found = others.withColumn("pos", F.col("start") + F.col("qpos")).join(postings, ["term", "id", "pos"])
+    else:
+        found = others.join(postings.select("term", "id").distinct(), ["term", "id"])
+    complete = (
+        found.groupBy(*place)
+        .agg(F.count(F.lit(1)).alias("hits"), F.max("n_terms").alias("n_terms"))
+        .filter(F.col("hits") == F.col("n_terms") - 1)
+    )
+    return complete.select("qid", "id").unionByName(single).distinct()
+
+
+def query_vocabulary(
+    corpus: DataFrame, queries: DataFrame, mode: str, analyzer: str = DEFAULT_ANALYZER
+) -> DataFrame:
+    """Postings of the query terms only, for a search without a stored index.
+
+    The corpus is read and analysed once. The modes that need every term read
+    these rows three times, so they are written; ``any`` reads them once.
+    """
+    terms = query_terms(queries, analyzer)
+    wanted = shipped(terms.select("term").distinct(), terms.count())
+    rows = build_postings(corpus, analyzer).join(wanted, "term", "left_semi")
+    return rows if match_mode(mode) == "any" else materialise(rows, "vocabulary")
 
 
 def search_postings(
@@ -125,14 +152,22 @@ def search_postings(
     k: int | None = 4,
     mode: str = "phrase",
     analyzer: str = DEFAULT_ANALYZER,
+    *,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``(qid, rank, id, score)`` for ``queries (qid, query)``; all if k is None.
 
-    Matching has no relevance order: every hit scores 1.0, ids ascend.
+    Matching has no relevance order: every hit scores 1.0, ids ascend. Give
+    the number of ``buckets`` of a stored index to prune its folders.
     """
     terms = query_terms(queries, analyzer)
+    n = terms.count()
     kind = match_mode(mode)
-    hits = _any_match(postings, terms, k) if kind == "any" else _all_match(postings, terms, kind == "phrase")
+    postings = _pruned(postings, terms, buckets)
+    if kind == "any":
+        hits = _any_match(postings, terms, n, k)
+    else:
+        hits = _all_match(postings.select("term", "id", "pos"), terms, n, kind == "phrase")
     if k is None:
         return hits.select("qid", "id", F.lit(1.0).alias("score"))
     ranked = top_per_group(hits, ["qid"], [F.col("id")], k)

@@ -127,7 +127,7 @@ def _register_batch(mode: str, test: str) -> None:
     def on_postings(t: Tables):
         path = scratch_path(t.spark, "postings")
         write_postings(build_postings(t.texts), path, buckets=8, salts=2)
-        return search_postings(t.spark.read.parquet(path), t.text_queries, None, mode)
+        return search_postings(t.spark.read.parquet(path), t.text_queries, None, mode, buckets=8)
 
 
 _register_batch("phrase", phrase_sql("tokens", "q"))
@@ -146,15 +146,9 @@ _POSTINGS_SQL = f"""WITH {DOC_TOKENS_SQL},
             sum(pos)::BIGINT AS sum_pos FROM p GROUP BY term, id""",
 )
 def postings(t: Tables):
-    rows = build_postings(t.texts)
-    return rows.select(
-        "term",
-        "id",
-        F.size("positions").alias("n"),
-        F.array_min("positions").alias("first_pos"),
-        F.array_max("positions").alias("last_pos"),
-        F.aggregate("positions", F.lit(0).cast("bigint"), lambda a, p: a + p).alias("sum_pos"),
-    )
+    n = F.count(F.lit(1)).cast("int").alias("n")
+    first, last = F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
+    return build_postings(t.texts).groupBy("term", "id").agg(n, first, last, F.sum("pos").alias("sum_pos"))
 
 
 @query(
@@ -173,7 +167,7 @@ def add_and_delete(t: Tables):
     kept, index = op.delete_documents(t.texts, build_postings(t.texts), toxic)
     _, index = op.add_documents(kept, index, new)
     return index.groupBy("term").agg(
-        F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("occurrences")
+        F.count_distinct("id").alias("documents"), F.count(F.lit(1)).alias("occurrences")
     )
 
 

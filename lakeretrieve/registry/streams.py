@@ -53,7 +53,7 @@ def postings(t: Tables):
     documents = _stream(t, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     stream_postings(documents, path, scratch_path(t.spark, "stream-state")).awaitTermination()
     return t.spark.read.parquet(path).groupBy("term").agg(
-        F.count(F.lit(1)).alias("documents"), F.sum(F.size("positions")).alias("occurrences")
+        F.count_distinct("id").alias("documents"), F.count(F.lit(1)).alias("occurrences")
     )
 
 
