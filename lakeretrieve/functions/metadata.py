@@ -56,8 +56,9 @@ def metadata_filter(metadata: Column, conditions: dict) -> Column:
     predicate = F.lit(True)
     for key, value in conditions.items():
         if isinstance(value, bool):
-            typed = F.try_variant_get(F.try_parse_json(metadata), json_path(key), "boolean")
-            test = F.coalesce(typed == F.lit(value), F.lit(False))
+            found = F.try_variant_get(F.try_parse_json(metadata), json_path(key), "variant")
+            # A JSON string "true" would convert to a boolean, but is not one.
+            test = (F.schema_of_variant(found) == "BOOLEAN") & (json_text(metadata, key) == str(value).lower())
         elif isinstance(value, str):
             test = json_text(metadata, key) == value
         elif isinstance(value, (int, float)):

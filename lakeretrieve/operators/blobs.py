@@ -3,6 +3,8 @@ file_path, value, mime_type, size``."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeretrieve.operators.keyed import mget as keyed_get
@@ -49,9 +51,14 @@ def file_path(key: Column, subdirectory: Column | str | None = None) -> Column:
 
 
 def blob_rows(
-    files: DataFrame, volume_type: str = "user", volume_name: str | None = None, subdirectory: str | None = None
+    files: DataFrame,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows to store for ``files (key, value[, mime_type])``."""
+    """Rows to store for ``files (key, value[, mime_type])``, with the columns
+    of ``keep`` (such as a write order) passed through."""
     check_address(volume_type, volume_name)
     mime = F.col("mime_type") if "mime_type" in files.columns else F.lit(None).cast("string")
     sub = (subdirectory or "").strip("/")
@@ -64,6 +71,7 @@ def blob_rows(
         F.col("value").cast("binary").alias("value"),
         mime.alias("mime_type"),
         F.octet_length(F.col("value").cast("binary")).cast("bigint").alias("size"),
+        *keep,
     )
 
 

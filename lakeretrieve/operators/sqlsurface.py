@@ -119,6 +119,19 @@ def render_top(df: DataFrame, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     )
 
 
+def run_text(spark: SparkSession, query: str, limit: int) -> str:
+    """Rows of a statement as text, ``limit`` at most; errors become text."""
+    try:
+        result = execute(spark, query)
+        lines = [row[0] for row in result.limit(limit).select(row_line(result.columns)).collect()]
+    except PySparkException as e:
+        return f"Error executing query: {e}"
+    if not lines:
+        return ""
+    header = " | ".join(result.columns)
+    return "\n".join([header, "-" * len(header), *lines])
+
+
 def _error(message: str) -> str:
     return f"Error executing SQL query: {message}"
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lakeretrieve.plans.appendlog import batch_numbers
+
 
 def last_per_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key; of one batch, the last duplicate wins."""
@@ -86,21 +88,11 @@ class ChangeLog:
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.values = list(values)
-        columns = {**keys, **values, "op": "string", "ts": "timestamp", "ord": "bigint"}
-        self.schema = ", ".join(f"`{name}` {kind}" for name, kind in {**columns, "batch": "bigint"}.items())
-        self.columns = list(columns)
-
-    def _hadoop(self):
-        jvm = self.spark._jvm
-        place = jvm.org.apache.hadoop.fs.Path(self.path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+        self.types = {**keys, **values, "op": "string", "ts": "timestamp", "ord": "bigint"}
+        self.schema = ", ".join(f"`{name}` {kind}" for name, kind in {**self.types, "batch": "bigint"}.items())
 
     def _batches(self) -> list[int]:
-        files, place = self._hadoop()
-        if not files.exists(place):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(place)]
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch="))
+        return batch_numbers(self.spark, self.path)
 
     def log(self) -> DataFrame:
         if not self._batches():
@@ -113,7 +105,9 @@ class ChangeLog:
     def _append(self, rows: DataFrame, batch: int | None) -> int:
         if batch is None:
             batch = max(self._batches(), default=-1) + 1
-        rows.select(*self.columns).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        # Casts give a null literal the type of its column.
+        typed = rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in self.types.items()])
+        typed.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return batch
 
     def put(self, rows: DataFrame, order: Column | str | None = None, ts: Column | None = None, batch: int | None = None) -> int:
@@ -125,8 +119,8 @@ class ChangeLog:
             *self.keys,
             *[F.col(v) if v in rows.columns else F.lit(None).alias(v) for v in self.values],
             F.lit("put").alias("op"),
-            (F.current_timestamp() if ts is None else ts).cast("timestamp").alias("ts"),
-            order.cast("bigint").alias("ord"),
+            (F.current_timestamp() if ts is None else ts).alias("ts"),
+            order.alias("ord"),
         )
         return self._append(stamped, batch)
 
@@ -136,8 +130,8 @@ class ChangeLog:
             *self.keys,
             *[F.lit(None).alias(v) for v in self.values],
             F.lit("delete").alias("op"),
-            (F.current_timestamp() if ts is None else ts).cast("timestamp").alias("ts"),
-            F.lit(0).cast("bigint").alias("ord"),
+            (F.current_timestamp() if ts is None else ts).alias("ts"),
+            F.lit(0).alias("ord"),
         )
         return self._append(stamped, batch)
 
@@ -146,11 +140,11 @@ class ChangeLog:
 
         Creation and update times survive as two puts of each key.
         """
-        other = ChangeLog(self.spark, path, dict.fromkeys(self.keys), dict.fromkeys(self.values))
-        other.schema = self.schema
-        live = self.current()
-        born = live.withColumn("op", F.lit("put")).withColumn("ord", F.lit(0).cast("bigint"))
-        first = born.withColumn("ts", F.col("created_at"))
-        last = born.withColumn("ts", F.col("updated_at")).withColumn("ord", F.lit(1).cast("bigint"))
-        other._append(first.select(*self.columns).unionByName(last.select(*self.columns)), 0)
+        other = ChangeLog(
+            self.spark, path, {k: self.types[k] for k in self.keys}, {v: self.types[v] for v in self.values}
+        )
+        live = self.current().withColumn("op", F.lit("put"))
+        first = live.withColumn("ts", F.col("created_at")).withColumn("ord", F.lit(0))
+        last = live.withColumn("ts", F.col("updated_at")).withColumn("ord", F.lit(1))
+        other._append(first.unionByName(last), 0)
         return other

@@ -123,7 +123,9 @@ def _all_match(postings: DataFrame, terms: DataFrame, n: int, phrase: bool) -> D
     if phrase:
         found = others.withColumn("pos", F.col("start") + F.col("qpos")).join(postings, ["term", "id", "pos"])
     else:
-        found = others.join(postings.select("term", "id").distinct(), ["term", "id"])
+        found = others.join(postings.select("term", "id"), ["term", "id"]).select(
+            "qid", "id", "qpos", "n_terms"
+        ).distinct()
     complete = (
         found.groupBy(*place)
         .agg(F.count(F.lit(1)).alias("hits"), F.max("n_terms").alias("n_terms"))

@@ -8,8 +8,7 @@ from lakeretrieve.operators import blobs as op
 from lakeretrieve.registry.base import Tables, query
 from lakeretrieve.sources.files import import_directory
 
-# Pages are files: one volume per URL scheme and host part, the site's
-# language folder is the subdirectory.
+# Pages are files; the kind of a URL decides the volume they go to.
 _FILES_SQL = """files AS (
   SELECT url AS key, encode(html) AS value, page_id AS ord,
     CASE WHEN starts_with(url, 'https://m.') THEN 'named' WHEN starts_with(url, 'https') THEN 'table' ELSE 'user' END AS volume_type,
@@ -36,17 +35,15 @@ def _raw(t: Tables):
 def _files(t: Tables):
     """Rows of all three address kinds, with the order of their writes."""
     names = {"user": None, "table": "pages", "named": "mobile"}
-    parts = []
-    for kind, name in names.items():
-        files = _raw(t).filter(F.col("kind") == kind)
-        rows = op.blob_rows(files.drop("ord", "kind"), kind, name)
-        parts.append(rows.join(files.select("key", "ord"), "key"))
+    parts = [
+        op.blob_rows(_raw(t).filter(F.col("kind") == kind), kind, name, keep=["ord"]) for kind, name in names.items()
+    ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _store(t: Tables):
-    rows = op.blob_rows(_raw(t).drop("kind").groupBy("key").agg(F.max_by(F.struct("value", "mime_type"), "ord").alias("f")).select("key", "f.*"))
-    return rows
+    last = _raw(t).groupBy("key").agg(F.max_by(F.struct("value", "mime_type"), "ord").alias("f"))
+    return op.blob_rows(last.select("key", "f.*"))
 
 
 _ONE_SQL = """store AS (
@@ -95,11 +92,8 @@ def put_bytes(t: Tables):
     rows = _files(t)
     store = op.put_files(rows.drop("ord").limit(0), rows)
     again = _raw(t).filter("kind = 'table'").groupBy("key").agg(F.max("ord").alias("ord"))
-    newer = op.blob_rows(
-        again.select("key", F.encode(F.concat(F.lit("page "), F.col("ord").cast("string")), "UTF-8").alias("value")),
-        "table",
-        "pages",
-    ).join(again, "key")
+    value = F.encode(F.concat(F.lit("page "), F.col("ord").cast("string")), "UTF-8")
+    newer = op.blob_rows(again.withColumn("value", value), "table", "pages", keep=["ord"])
     return op.put_files(store, newer).select(
         "volume_type", "volume_name", "key", "file_path", F.md5("value").alias("value_md5")
     )
