@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeretrieve.operators.keyed import mget as keyed_get
+from lakeretrieve.operators.keyed import mget as keyed_get, requested_rows
 
 # Address kinds, and whether they carry a name.
 VOLUME_TYPES = {"user": False, "table": True, "named": True}
@@ -94,7 +94,7 @@ def get_bytes(requests: DataFrame, store: DataFrame) -> DataFrame:
 
 def get_files(requests: DataFrame, store: DataFrame) -> DataFrame:
     """``(ord, key, value, mime_type)``; an empty file counts as not found."""
-    found = store.filter(F.col("size") > 0).select(
+    found = requested_rows(requests, store.filter(F.col("size") > 0)).select(
         "key", "value", F.coalesce("mime_type", F.lit(DEFAULT_MIME)).alias("mime_type")
     )
     return requests.select("ord", "key").join(found, "key", "inner").select("ord", "key", "value", "mime_type")

@@ -61,7 +61,7 @@ def in_range(log: DataFrame, start: Column | None = None, end: Column | None = N
 
 def count_messages(log: DataFrame, sessions: DataFrame) -> DataFrame:
     """Messages of each listed session, 0 when it has none."""
-    counts = log.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = for_sessions(log, sessions).groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
     return sessions.select("session_id").join(counts, "session_id", "left").select(
         "session_id", F.coalesce("n", F.lit(0)).alias("n")
     )

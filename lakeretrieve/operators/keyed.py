@@ -11,7 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeretrieve.functions.metadata import clean_metadata
-from lakeretrieve.plans.changelog import apply_delete, apply_upsert, last_per_key
+from lakeretrieve.plans.changelog import apply_delete, apply_upsert
+from lakeretrieve.plans.lookup import shipped
 
 
 def mget(
@@ -25,13 +26,24 @@ def mget(
     """Requested keys with their values; a missing key has null values.
 
     ``requests`` has ``ord, key``; duplicates are repeated. In the key-value
-    store an empty text reads back as null. Join skew on a key that is asked
-    for very often is split by AQE, since the store side is unique.
+    store an empty text reads back as null.
     """
     picked = [
         F.nullif(F.col(v), F.lit("")).alias(v) if empty_is_null else F.col(v) for v in values
     ]
-    return requests.select("ord", key).join(store.select(key, *picked), key, "left").select("ord", key, *values)
+    found = requested_rows(requests, store, key).select(key, *picked)
+    return requests.select("ord", key).join(found, key, "left").select("ord", key, *values)
+
+
+def requested_rows(requests: DataFrame, store: DataFrame, key: str = "key") -> DataFrame:
+    """Rows of a store that are asked for, at most once each.
+
+    Requests are counted first: up to the broadcast limit the store is scanned
+    without a shuffle, however large it is. Beyond it the join is shuffled, and
+    AQE splits a key that is asked for very often.
+    """
+    wanted = requests.select(key).distinct()
+    return store.join(shipped(wanted, requests.count()), key, "left_semi")
 
 
 def mset(store: DataFrame, pairs: DataFrame, values: Sequence[str] = ("value",), *, key: str = "key") -> DataFrame:
@@ -58,6 +70,7 @@ def get_documents(requests: DataFrame, store: DataFrame, *, null_metadata_as_emp
     by plain ``mset``) counts as not found unless told otherwise.
     """
     rows = store if null_metadata_as_empty else store.filter(F.col("metadata").isNotNull())
+    rows = requested_rows(requests, rows)
     return requests.select("ord", "key").join(
         rows.select("key", "content", clean_metadata(F.col("metadata")).alias("metadata")), "key", "inner"
     ).select("ord", "key", "content", "metadata")
@@ -114,10 +127,8 @@ def store_statistics(store: DataFrame, now: Column, ts: str = "created_at") -> D
 def session_blobs(sessions: DataFrame, store: DataFrame) -> DataFrame:
     """JSON state of each session under ``session:<id>``, ``{}`` when absent."""
     keyed = sessions.select("session_id", F.concat(F.lit("session:"), F.col("session_id")).alias("key"))
-    return keyed.join(store.select("key", "value"), "key", "left").select(
+    found = requested_rows(keyed, store.select("key", "value"))
+    return keyed.join(found, "key", "left").select(
         "session_id", clean_metadata(F.col("value")).alias("state")
     )
 
-
-def latest(changes: DataFrame, key: str = "key", order: Sequence[str] = ("ord",)) -> DataFrame:
-    return last_per_key(changes, [key], list(order))

@@ -18,6 +18,8 @@ from lakeretrieve.plans.neighbours import nearest
 
 # Training rows per centre: centres settle long before the corpus is used up.
 SAMPLE_PER_CELL = 256
+# The centres travel to every task, so their number is bounded by their size.
+CENTRE_BYTES = 64 << 20
 # Rows per file of a cell, so that a large cell is many scan splits.
 ROWS_PER_FILE = 100_000
 
@@ -30,8 +32,9 @@ def index_name(table: str, prefix: str = "cells") -> str:
 def train_centres(corpus: DataFrame, cells: int | None = None, metric: str = "cosine", seed: int = 42) -> KMeansModel:
     """k-means on a bounded sample; only the centres come from the sample."""
     rows = corpus.select("embedding").filter(F.col("embedding").isNotNull())
-    total = rows.count()
-    cells = cells or max(1, int(math.sqrt(total)))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    total = size["n"]
+    cells = cells or max(1, min(int(math.sqrt(total)), CENTRE_BYTES // (8 * (size["dim"] or 1))))
     fraction = min(1.0, 1.2 * cells * SAMPLE_PER_CELL / max(total, 1))
     sample = rows if fraction >= 1.0 else rows.sample(fraction, seed=seed)
     kmeans = KMeans(

@@ -76,7 +76,9 @@ def _pruned(postings: DataFrame, terms: DataFrame, buckets: int | None) -> DataF
 def _any_match(postings: DataFrame, terms: DataFrame, n: int, k: int | None) -> DataFrame:
     wanted = terms.select("qid", "term").distinct()
     vocabulary = shipped(wanted.select("term").distinct(), n)
-    rows = postings.select("term", "id").join(vocabulary, "term", "left_semi").distinct()
+    rows = postings.select("term", "id").join(vocabulary, "term", "left_semi")
+    if "pos" in postings.columns:
+        rows = rows.distinct()
     if k is not None:
         # The k smallest ids of a query are among the k smallest of its terms.
         rows = top_per_group(rows, ["term"], [F.col("id")], k).drop("rank")
@@ -139,13 +141,18 @@ def query_vocabulary(
 ) -> DataFrame:
     """Postings of the query terms only, for a search without a stored index.
 
-    The corpus is read and analysed once. The modes that need every term read
-    these rows three times, so they are written; ``any`` reads them once.
+    The corpus is read and analysed once. Match-any needs one row per term and
+    document. The other modes read the positions three times, so those are
+    written.
     """
     terms = query_terms(queries, analyzer)
     wanted = shipped(terms.select("term").distinct(), terms.count())
+    if match_mode(mode) == "any":
+        tokens = F.array_distinct(tokenize(F.col("content"), analyzer))
+        rows = spread(corpus.select("id", "content")).select(F.explode(tokens).alias("term"), "id")
+        return rows.join(wanted, "term", "left_semi")
     rows = build_postings(corpus, analyzer).join(wanted, "term", "left_semi")
-    return rows if match_mode(mode) == "any" else materialise(rows, "vocabulary")
+    return materialise(rows, "vocabulary")
 
 
 def search_postings(

@@ -14,7 +14,8 @@ from lakeretrieve.plans.postings import build_postings, write_postings
 def stream_upserts(changes: DataFrame, log: ChangeLog, checkpoint: str, order: str = "ord") -> StreamingQuery:
     """Upserts from a stream into a change log, one log batch per micro-batch.
 
-    A micro-batch that is replayed after a failure replaces its own batch.
+    A micro-batch that is replayed after a failure replaces its own batch. The
+    stream numbers the batches, so it is the only writer of its log.
     """
 
     def write(batch: DataFrame, number: int) -> None:
