@@ -37,6 +37,7 @@ def search_batch(
     analyzer: str = DEFAULT_ANALYZER,
     *,
     postings: DataFrame | None = None,
+    buckets: int | None = None,
     conditions: dict | None = None,
 ) -> DataFrame:
     """``(qid, rank, id, score)`` for a table of query texts.
@@ -50,7 +51,7 @@ def search_batch(
             postings = postings.join(corpus.select("id"), "id", "left_semi")
     if postings is None:
         postings = query_vocabulary(corpus, queries, mode, analyzer)
-    return search_postings(postings, queries, k, mode, analyzer)
+    return search_postings(postings, queries, k, mode, analyzer, buckets=buckets)
 
 
 def delete_documents(corpus: DataFrame, postings: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:

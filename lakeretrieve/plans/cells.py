@@ -60,6 +60,14 @@ def assign_cells(corpus: DataFrame, model: KMeansModel) -> DataFrame:
     return model.transform(_features(corpus)).drop("features")
 
 
+def assign_to_centres(corpus: DataFrame, centres: DataFrame, metric: str = "cosine") -> DataFrame:
+    """Rows with the number of their nearest stored centre."""
+    ranking = "cosine" if metric_kind(metric) == "cosine" else "l2"
+    asked = corpus.select(F.col("id").alias("qid"), F.col("embedding").alias("qvector"))
+    cell = nearest(centres, asked, 1, ranking).select(F.col("qid").alias("id"), F.col("id").alias("cell"))
+    return corpus.join(cell.distinct(), "id")
+
+
 def centre_table(spark, model: KMeansModel) -> DataFrame:
     """``(id, vector)`` of the centres; as many rows as there are cells."""
     rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]

@@ -12,6 +12,10 @@ Two layouts give the same rows:
 * ``tiles`` - for query tables beyond the bound. Both sides are hashed into
   tiles of bounded size and each (corpus tile, query tile) pair is one task.
 
+Where the candidates of all tasks would be many, a first pass over a sample
+finds a distance that each query's k-th neighbour cannot exceed; the full pass
+then emits only rows within it. The result does not depend on the sample.
+
 Distances are compared in double precision, cosine distances at 12 decimals
 (their rounding error is absolute); ties go to the smaller id. Vectors without
 a defined distance (null, null element, wrong length, zero norm under cosine)
@@ -27,12 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakeretrieve.functions.vectors import metric_kind
-from lakeretrieve.plans.spread import spread
+from lakeretrieve.plans.spread import scan_splits, spread
 from lakeretrieve.plans.topk import top_per_group
 
 # Largest query block shipped to every executor, and rows per tile beyond it.
 BROADCAST_BYTES = 64 << 20
 TILE_ROWS = 50_000
+# Candidate rows (tasks x queries x k) from which the first pass pays off, and
+# the corpus rows it looks at.
+MANY_CANDIDATES = 50_000_000
+SAMPLE_ROWS = 1_000_000
 # Distances held at once by a task.
 _BLOCK_CELLS = 2 << 20
 _BLOCK_ROWS = 2048
@@ -94,10 +102,10 @@ def _without_surplus_copies(ids: np.ndarray, block: np.ndarray, k: int) -> tuple
 class _Best:
     """Running k best (distance, id) pairs of each query of a block."""
 
-    def __init__(self, n_queries: int, k: int, below: float | None):
+    def __init__(self, bound: np.ndarray, k: int, below: float | None):
         self.k = k
         self.below = below
-        self.bound = np.full(n_queries, np.inf)
+        self.bound = np.where(np.isnan(bound), np.inf, bound)
         self.query = np.empty(0, dtype=np.int64)
         self.distance = np.empty(0)
         self.ids: np.ndarray | None = None
@@ -128,13 +136,14 @@ class _Best:
 def _scan(
     batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]],
     queries: np.ndarray,
+    bound: np.ndarray,
     kind: str,
     k: int,
     below: float | None,
     probes: dict[int, np.ndarray] | None,
 ) -> _Best:
     """k best of every query over (ids, vectors, cells) batches."""
-    best = _Best(len(queries), k, below)
+    best = _Best(bound, k, below)
     prepared = _prepare(queries, kind)
     step = max(1, _BLOCK_CELLS // _BLOCK_ROWS)
     everyone = np.arange(len(queries))
@@ -180,14 +189,17 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def _query_block(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names, vectors and bounds of a table ``qid, qvector, bound``."""
+    vectors = [_matrix(c, dim) for c in table.column("qvector").chunks]
+    matrix = np.concatenate([np.empty((0, dim)), *vectors])
+    return _ids(table.column("qid")), matrix, _ids(table.column("bound")).astype(np.float64)
+
+
 def _broadcast_layout(corpus, queries, probes, dim, kind, k, below, out: T.StructType) -> DataFrame:
     spark = corpus.sparkSession
     # Bounded: the caller measured this table against BROADCAST_BYTES.
-    table = queries.toArrow().combine_chunks()
-    qids = _ids(table.column(0))
-    matrix = np.concatenate(
-        [np.empty((0, dim)), *[_matrix(c, dim) for c in table.column(1).chunks]]
-    )
+    qids, matrix, bound = _query_block(queries.toArrow(), dim)
     asking = None
     if probes is not None:
         place = {qid: i for i, qid in enumerate(qids.tolist())}
@@ -197,16 +209,16 @@ def _broadcast_layout(corpus, queries, probes, dim, kind, k, below, out: T.Struc
         asking = {cell: np.array(sorted(members)) for cell, members in asking.items()}
         # Only probed cells are read: a partition filter on the cell table.
         corpus = corpus.filter(F.col("cell").isin(sorted(asking)))
-    shipped = spark.sparkContext.broadcast((qids, matrix, asking))
+    shipped = spark.sparkContext.broadcast((qids, matrix, bound, asking))
     arrow_out = _arrow_schema(out)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors, wanted = shipped.value
+        names, vectors, bounds, wanted = shipped.value
         rows = (
             (_ids(b.column(0)), _matrix(b.column(1), dim), None if wanted is None else _ids(b.column(2)))
             for b in batches
         )
-        found = _result(_scan(rows, vectors, kind, k, below, wanted), names, arrow_out)
+        found = _result(_scan(rows, vectors, bounds, kind, k, below, wanted), names, arrow_out)
         if found is not None:
             yield found
 
@@ -215,27 +227,27 @@ def _broadcast_layout(corpus, queries, probes, dim, kind, k, below, out: T.Struc
 
 def _tile_layout(corpus, queries, probes, n_queries, dim, kind, k, below, out, tile_rows) -> DataFrame:
     """Bounded (corpus tile, query tile) pairs; cells larger than a tile split."""
+    query_tiles = max(1, -(-n_queries // tile_rows))
     if probes is None:
-        corpus = corpus.withColumn("cell", F.lit(0))
-        asked = queries.withColumn("cell", F.lit(0))
+        splits = F.lit(max(1, -(-corpus.count() // tile_rows)))
+        rows = corpus.withColumn("cell", F.lit(0)).withColumn("__splits", splits)
+        asked = queries.withColumn("cell", F.lit(0)).withColumn("__splits", splits)
     else:
-        asked = queries.join(probes, "qid", "inner")
-    query_tiles = max(1, -(-n_queries // tile_rows))
-    splits = corpus.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).cast("int").alias("__splits")
-    )
+        sizes = corpus.groupBy("cell").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).cast("int").alias("__splits")
+        )
+        rows = corpus.join(sizes, "cell")
+        asked = queries.join(probes, "qid", "inner").join(sizes, "cell")
     left = (
-        corpus.join(splits, "cell")
         # The vector takes part in the hash so that rows sharing an id spread.
-        .withColumn("__split", F.pmod(F.xxhash64("id", "vector"), F.col("__splits")).cast("int"))
+        rows.withColumn("__split", F.pmod(F.xxhash64("id", "vector"), F.col("__splits")).cast("int"))
         .withColumn("__tile", F.explode(F.sequence(F.lit(0), F.lit(query_tiles - 1))))
         .select("cell", "__split", "__tile", "id", "vector")
     )
     right = (
-        asked.join(splits, "cell")
-        .withColumn("__split", F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)))
+        asked.withColumn("__split", F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)))
         .withColumn("__tile", F.pmod(F.xxhash64("qid"), F.lit(query_tiles)).cast("int"))
-        .select("cell", "__split", "__tile", "qid", "qvector")
+        .select("cell", "__split", "__tile", "qid", "qvector", "bound")
     )
     keys = ["cell", "__split", "__tile"]
     arrow_out = _arrow_schema(out)
@@ -243,12 +255,11 @@ def _tile_layout(corpus, queries, probes, n_queries, dim, kind, k, below, out, t
     def pair(rows: pa.Table, asking: pa.Table) -> pa.Table:
         if not rows.num_rows or not asking.num_rows:
             return arrow_out.empty_table()
-        names = _ids(asking.column("qid"))
-        vectors = np.concatenate([_matrix(c, dim) for c in asking.column("qvector").chunks])
+        names, vectors, bounds = _query_block(asking, dim)
         batches = (
             (_ids(b.column("id")), _matrix(b.column("vector"), dim), None) for b in rows.to_batches()
         )
-        found = _result(_scan(batches, vectors, kind, k, below, None), names, arrow_out)
+        found = _result(_scan(batches, vectors, bounds, kind, k, below, None), names, arrow_out)
         return arrow_out.empty_table() if found is None else pa.Table.from_batches([found])
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, out)
@@ -265,6 +276,8 @@ def nearest(
     layout: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
     tile_rows: int = TILE_ROWS,
+    many_candidates: int = MANY_CANDIDATES,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """``(qid, rank, id, distance)``: the k nearest corpus rows of each query.
 
@@ -295,9 +308,28 @@ def nearest(
     usable = corpus.select(*columns).filter(F.size("vector") == dim)
     if layout == "auto":
         layout = "broadcast" if size["n"] * (dim + 16) * 8 <= broadcast_bytes else "tiles"
-    if layout == "broadcast":
-        found = _broadcast_layout(spread(usable), queries, probes, dim, kind, k, below, out)
-    else:
-        found = _tile_layout(usable, queries, probes, size["n"], dim, kind, k, below, out, tile_rows)
-    ranked = top_per_group(found, ["qid"], [F.col("distance"), F.col("id")], k)
-    return ranked.select("qid", "rank", "id", "distance")
+
+    def search(rows: DataFrame, asked: DataFrame) -> DataFrame:
+        if layout == "broadcast":
+            found = _broadcast_layout(spread(rows), asked, probes, dim, kind, k, below, out)
+        else:
+            found = _tile_layout(rows, asked, probes, size["n"], dim, kind, k, below, out, tile_rows)
+        return top_per_group(found, ["qid"], [F.col("distance"), F.col("id")], k)
+
+    unbounded = queries.withColumn("bound", F.lit(None).cast("double"))
+    tasks = scan_splits(usable) if layout == "broadcast" else None
+    if probes is None:
+        # Every task may emit k rows of every query.
+        total = None if tasks is not None and tasks * size["n"] * k <= many_candidates else usable.count()
+        if total is not None and tasks is None:
+            tasks = -(-total // tile_rows)
+        if total is not None and tasks * size["n"] * k > many_candidates and total > 2 * sample_rows:
+            first = search(usable.sample(sample_rows / total, seed=1), unbounded)
+            limits = first.groupBy("qid").agg(
+                F.count(F.lit(1)).alias("n"),
+                # The slack covers rounding between two passes.
+                (F.max("distance") * (1 + 1e-9) + 1e-9).alias("bound"),
+            )
+            limits = limits.filter(F.col("n") == k).select("qid", "bound")
+            unbounded = queries.join(limits, "qid", "left")
+    return search(usable, unbounded).select("qid", "rank", "id", "distance")

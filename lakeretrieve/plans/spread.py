@@ -11,6 +11,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def scan_splits(df: DataFrame) -> int:
+    """About how many splits the tables below a plan are read in."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return input_bytes(df) // int(conf.filesMaxPartitionBytes()) + 1
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin over all cores if the scan has under a quarter as many splits.
 
@@ -18,9 +24,7 @@ def spread(df: DataFrame) -> DataFrame:
     table the scan already has more splits than there are cores, and the rows
     stay where they are.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if df.isStreaming or (input_bytes(df) // split + 1) * 4 > cores:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or scan_splits(df) * 4 > cores:
         return df
     return df.repartition(cores)

@@ -14,9 +14,9 @@ K = 3
 
 _CONTEXT_SQL = f"""WITH {CORPUS_SQL},
   d AS (SELECT a.id AS qid, b.id, b.content, b.source, greatest(0, list_cosine_distance(a.embedding, b.embedding)) AS distance
-        FROM corpus a, corpus b WHERE b.label < 5),
+        FROM corpus a, corpus b),
   near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance, 12), id) AS rank FROM d)
-           WHERE rank <= {K} AND distance < 0.6),
+           WHERE rank <= {K}),
   ctx AS (SELECT qid, count(*) AS n, string_agg('Document ' || rank || ' (Score: ' || printf('%.3f', 1 - distance / 2)
             || ', Source: ' || source || '):' || chr(10) || content || chr(10), chr(10) ORDER BY rank) AS context
           FROM near GROUP BY qid),
@@ -29,9 +29,9 @@ def _questions(t: Tables):
 
 
 def _contexts(t: Tables):
-    corpus = t.corpus.filter(F.get_json_object("metadata", "$.label").cast("int") < 5)
-    queries = t.vector_queries.join(t.corpus.select(F.col("id").alias("qid")), "qid", "left_semi")
-    hits = knn_batch(corpus, queries, K, below=0.6)
+    corpus = t.corpus
+    queries = t.vector_queries.join(corpus.select(F.col("id").alias("qid")), "qid", "left_semi")
+    hits = knn_batch(corpus, queries, K)
     rows = with_payload(hits, corpus, queries.count() * K, ["content", "metadata"])
     sourced = rows.withColumn("source", F.get_json_object("metadata", "$.source"))
     return op.context(_questions(t), sourced)

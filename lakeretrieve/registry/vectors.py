@@ -368,9 +368,9 @@ def search_index(t: Tables):
 
 @query(
     "v25_promote_metadata",
-    f"WITH {CORPUS_SQL} SELECT id, lang AS meta_lang, label AS meta_label FROM corpus WHERE label >= 5",
+    f"WITH {CORPUS_SQL} SELECT id, lang AS meta_lang, label AS meta_label FROM corpus",
 )
 def promote(t: Tables):
     path = scratch_path(t.spark, "promoted")
     t.corpus.select("id", *promote_keys(F.col("metadata"), {"lang": "string", "label": "int"})).write.parquet(path)
-    return t.spark.read.parquet(path).filter(F.col("meta_label") >= 5)
+    return t.spark.read.parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakeretrieve.functions import vectors as V
 from lakeretrieve.operators import blobs, chat, fulltext, hybrid, keyed, sqlsurface, vector
 from lakeretrieve.plans import cells, postings
-from lakeretrieve.plans.appendlog import AppendTable
+from lakeretrieve.plans.appendlog import AppendTable, batch_numbers
 from lakeretrieve.plans.changelog import ChangeLog
 from lakeretrieve.session import materialise
 from lakeretrieve.sources.tables import CHAT_TABLE, TEXT_TABLE, VECTOR_TABLE
@@ -68,15 +68,22 @@ class VectorStore:
         self.table.delete(ids)
 
     def build_index(self, n_cells: int | None = None) -> None:
+        """Index the present rows; an earlier index stays until it is replaced."""
+        at = self.table.last_batch()
         corpus = self.corpus().select("id", "embedding")
         model = cells.train_centres(corpus, n_cells, self.metric)
-        cells.write_index(cells.assign_cells(corpus, model), f"{self.path}/cells")
-        cells.centre_table(self.spark, model).write.mode("overwrite").parquet(f"{self.path}/centres")
+        cells.write_index(cells.assign_cells(corpus, model), f"{self.path}/cells/at={at}")
+        cells.centre_table(self.spark, model).write.mode("overwrite").parquet(f"{self.path}/centres/at={at}")
 
     def search_index(self, queries: DataFrame, k: int = 4, nprobe: int = 8) -> DataFrame:
-        """Approximate hits; rows deleted since the index was built are left out."""
-        index = self.spark.read.parquet(f"{self.path}/cells").join(self.corpus().select("id"), "id", "left_semi")
-        centres = self.spark.read.parquet(f"{self.path}/centres")
+        """Approximate hits on the index, kept whole: rows added since it was
+        built join their nearest cell, deleted rows are left out."""
+        at = batch_numbers(self.spark, f"{self.path}/centres", "at")[-1]
+        centres = self.spark.read.parquet(f"{self.path}/centres/at={at}")
+        index = self.spark.read.parquet(f"{self.path}/cells/at={at}").select("id", "embedding", "cell")
+        if self.table.last_batch() > at:
+            new = cells.assign_to_centres(self.table.rows_since(at).select("id", "embedding"), centres, self.metric)
+            index = index.join(self.table.gone_since(at), "id", "left_anti").unionByName(new.select(*index.columns))
         return cells.search_cells(index, centres, self.embed_queries(queries), k, nprobe, self.metric)
 
 
@@ -97,18 +104,31 @@ class FullTextStore:
 
     def search(self, queries: DataFrame, k: int = 4, mode: str = "phrase", *, use_index: bool = False) -> DataFrame:
         corpus = self.corpus()
-        index = None
-        if use_index:
-            index = self.spark.read.parquet(f"{self.path}/postings").join(corpus.select("id"), "id", "left_semi")
-        hits = fulltext.search_batch(corpus, queries, k, mode, self.analyzer, postings=index)
+        index = self.index() if use_index else None
+        hits = fulltext.search_batch(
+            corpus, queries, k, mode, self.analyzer, postings=index, buckets=postings.BUCKETS if use_index else None
+        )
         return vector.with_payload(hits, corpus, queries.count() * k)
 
     def delete(self, ids: DataFrame) -> None:
         self.table.delete(ids)
 
     def build_index(self) -> None:
+        """Index the present rows; an earlier index stays until it is replaced."""
+        at = self.table.last_batch()
         rows = postings.build_postings(self.corpus(), self.analyzer)
-        postings.write_postings(rows, f"{self.path}/postings")
+        postings.write_postings(rows, f"{self.path}/postings/at={at}")
+
+    def index(self) -> DataFrame:
+        """Stored postings kept whole: without the rows deleted since they were
+        built, and with those of rows added since."""
+        at = batch_numbers(self.spark, f"{self.path}/postings", "at")[-1]
+        stored = self.spark.read.parquet(f"{self.path}/postings/at={at}")
+        if self.table.last_batch() == at:
+            return stored
+        new = postings.build_postings(self.table.rows_since(at), self.analyzer)
+        new = new.withColumn("bucket", postings.term_bucket())
+        return stored.join(self.table.gone_since(at), "id", "left_anti").unionByName(new.select(*stored.columns))
 
 
 class HybridStore(VectorStore):

@@ -32,9 +32,9 @@ def _plain(df: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(str(value(x)) for x in row) for row in df.itertuples(index=False))
 
 
-def compare(spark, con, sf_dir: str, name: str) -> str | None:
+def compare(spark, con, sf_dir: str, name: str, df=None) -> str | None:
     """None when equal, else what differs."""
-    ours = QUERIES[name](spark, sf_dir).toPandas()
+    ours = (QUERIES[name](spark, sf_dir) if df is None else df).toPandas()
     theirs = con.execute(ORACLES[name]).df()
     if sorted(ours.columns) != sorted(theirs.columns):
         return f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"

@@ -139,6 +139,17 @@ def test_large_query_table_takes_tiles(skewed):
     assert found.count() == sum(len(x) for x in brute(corpus, queries, "cosine", 3).values())
 
 
+@pytest.mark.parametrize("layout", ["broadcast", "tiles"])
+@pytest.mark.parametrize("metric", ["cosine", "l1"])
+def test_sample_bound_changes_nothing(skewed, metric, layout):
+    corpus, queries, c, q = skewed
+    found = nearest(c, q, 4, metric, layout=layout, tile_rows=60, many_candidates=1, sample_rows=90).collect()
+    got = {qid: [] for qid, _ in queries}
+    for row in sorted(found, key=lambda r: (r.qid, r["rank"])):
+        got[row.qid].append(row.id)
+    assert got == brute(corpus, queries, metric, 4)
+
+
 def test_single_query_equals_batch(skewed):
     corpus, queries, c, q = skewed
     table = c.withColumnRenamed("vector", "embedding")
