@@ -233,7 +233,7 @@ _PASSED = {
     "p08_buckets": (
         ["orders"],
         """SELECT CASE WHEN o_totalprice < 100000 THEN 'low' WHEN o_totalprice < 300000 THEN 'mid' ELSE 'high' END AS bucket,
-             CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, count(*) AS n, round(avg(o_totalprice), 2) AS price
+             CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m, count(*) AS n, round(sum(o_totalprice), 2) AS price
            FROM orders GROUP BY 1, 2, 3""",
     ),
     "p09_last_day": (
