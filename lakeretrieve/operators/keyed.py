@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeretrieve.functions.metadata import clean_metadata
 from lakeretrieve.plans.changelog import apply_delete, apply_upsert
 from lakeretrieve.plans.lookup import shipped
+from lakeretrieve.session import materialise
 
 
 def mget(
@@ -82,13 +83,14 @@ def compute_missing(
     """Cache-aside: ``(results, new cache rows)``.
 
     ``inputs`` has ``input``; keys are the prefix and the input's MD5. Only
-    distinct inputs without a cached value are computed.
+    distinct inputs without a cached value are computed, and that once: the
+    new values are written before they are handed out twice.
     """
     keyed = inputs.select("input").distinct().withColumn(
         "key", F.concat(F.lit(prefix), F.md5(F.col("input").cast("binary")))
     )
     missing = keyed.join(cache.select("key"), "key", "left_anti")
-    fresh = missing.select("key", "input", compute(F.col("input")).alias("value"))
+    fresh = materialise(missing.select("key", "input", compute(F.col("input")).alias("value")), "computed")
     known = keyed.join(cache.select("key", "value"), "key", "inner").select("key", "input", "value")
     results = known.withColumn("cached", F.lit(True)).unionByName(fresh.withColumn("cached", F.lit(False)))
     return results, fresh.select("key", "value")

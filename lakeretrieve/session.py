@@ -50,9 +50,23 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/lakeretrieve-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table that a job writes and reads back."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote for its own use.
+
+    Call it when their results have been consumed or stored: results that were
+    not yet computed read these tables.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -40,7 +40,8 @@ class VectorStore:
         return self.table.current()
 
     def embed_queries(self, queries: DataFrame) -> DataFrame:
-        return queries.withColumn("qvector", self.embedder(F.col("query")))
+        # Written once: a search reads its queries several times.
+        return materialise(queries.withColumn("qvector", self.embedder(F.col("query"))), "queries")
 
     def similarity_search_with_score(self, queries: DataFrame, k: int = 4, conditions: dict | None = None) -> DataFrame:
         """Hits with content and metadata for ``queries (qid, query)``."""

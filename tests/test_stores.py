@@ -212,3 +212,15 @@ def test_full_text_store(spark, tmp_path):
     assert {r.id for r in store.search(q, 5, use_index=True).collect()} == {"4"}
     store.build_index()
     assert {r.id for r in store.search(q, 5, "any", use_index=True).collect()} == {"1", "2", "3", "4"}
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    from lakeretrieve.session import drop_scratch, materialise
+
+    df = materialise(spark.range(10), "numbers")
+    folder = df.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+    assert df.count() == 10 and os.path.isdir(folder)
+    drop_scratch(spark)
+    assert not os.path.exists(folder)
