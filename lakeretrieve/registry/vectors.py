@@ -366,6 +366,15 @@ def search_index(t: Tables):
     return found.select("qid", "rank", "id", r6("distance").alias("distance"))
 
 
+@query("v23_search_all_cells", _batch_sql(_COSINE, "1 - distance / 2", 10))
+def search_all_cells(t: Tables):
+    """Every cell is probed, so the index gives the exact neighbours."""
+    index, centres = _index(t)
+    found = cells.search_cells(index, centres, t.vector_queries, 10, nprobe=centres.count())
+    scored = found.withColumn("score", V.score("cosine", F.col("distance")))
+    return scored.select("qid", "rank", "id", r6("distance").alias("distance"), r6("score").alias("score"))
+
+
 @query(
     "v25_promote_metadata",
     f"WITH {CORPUS_SQL} SELECT id, lang AS meta_lang, label AS meta_label FROM corpus",
