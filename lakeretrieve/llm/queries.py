@@ -1,6 +1,6 @@
 """All named queries of this subpackage."""
 
-from lakeretrieve.llm import line_dedup, mixing, quality_rules, secrets, simhash  # noqa: F401  (imported for their entries)
+from lakeretrieve.llm import line_dedup, mixing, packing, quality_rules, secrets, simhash, token_store  # noqa: F401  (imported for their entries)
 from lakeretrieve.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
