@@ -1,6 +1,17 @@
 """All named queries of this subpackage."""
 
-from lakeretrieve.llm import line_dedup, mixing, packing, quality_rules, secrets, simhash, token_store  # noqa: F401  (imported for their entries)
+from lakeretrieve.llm import (  # noqa: F401  (imported for their entries)
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    secrets,
+    simhash,
+    site_quality,
+    syncmers,
+    token_store,
+)
 from lakeretrieve.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
