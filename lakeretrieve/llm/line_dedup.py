@@ -37,6 +37,8 @@ MIN_CHARS = 20
 # Lines of one document that an order number has room for.
 ROOM = 2**31
 UNNAMED = 2**62
+# Characters whose counts are compared before two texts are.
+COUNTED = "etaoinshrdlcumwfgypbvkj0123456789 .,"
 
 
 def _document(text: Column) -> Column:
@@ -63,6 +65,19 @@ def segment_keys(line: Column, chars: Column, edits: int) -> list[tuple[Column,
     return found
 
 
+def count_parities(line: Column) -> Column:
+    """A bit for each of :data:`COUNTED`: whether it occurs an odd number of times.
+
+    An edit removes one character, adds one, or both, so it changes two bits
+    at the most.
+    """
+    found = F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        odd = (F.length(line) - F.length(F.replace(line, F.lit(c)))) % 2
+        found = found.bitwiseOR(F.shiftleft(odd.cast("long"), i))
+    return found
+
+
 def edit_distance(a: Column, b: Column, most: int) -> Column:
     """Edits between texts whose lengths differ by ``most`` at the most.
 
@@ -125,7 +140,7 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """``h1, h2, place, doc, chars, k0 ..``: each line once, with its first place and its keys.
+    """``h1, h2, place, doc, chars, parities, k0 ..``: each line once, with its first place and its keys.
 
     ``place`` is document times ``ROOM`` plus position. Keys ride along as
     numbers, so the lines' texts are not needed again.
@@ -139,20 +154,27 @@ def distinct_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
         "doc",
         (F.col("doc").cast("decimal(19,0)") * F.lit(ROOM) + F.col("at")).cast("decimal(38,0)").alias("place"),
         "chars",
+        count_parities(line).alias("parities"),
         *[k.alias(f"k{i}") for i, (k, _) in enumerate(keys)],
     )
-    least = ["place", "doc", "chars", *[f"k{i}" for i in range(len(keys))]]
+    least = ["place", "doc", "chars", "parities", *[f"k{i}" for i in range(len(keys))]]
     return stored(named.groupBy("h1", "h2").agg(*[F.min(c).alias(c) for c in least]), "lines")
 
 
 def candidate_pairs(lines: DataFrame, edits: int) -> DataFrame:
-    """``a, b``: pairs of line hashes that share a segment, each pair once."""
+    """``a, b``: pairs of line hashes that share a segment, each pair once.
+
+    Lengths and character counts that more than ``edits`` edits part are
+    compared within the join, so lines that only share a common beginning or
+    end make no rows.
+    """
     own = [is_own for _, is_own in segment_keys(F.lit(""), F.lit(0), edits)]
     entries = F.array(*[F.struct(F.col(f"k{i}").alias("key"), F.lit(o).alias("own")) for i, o in enumerate(own)])
-    rows = lines.select(F.col("h1").alias("line"), "chars", F.inline(entries)).select("key", "own", "line", "chars")
-    held = rows.where("own").select("key", F.col("line").alias("a"), F.col("chars").alias("a_chars"))
-    asked = rows.select(F.col("key").alias("probe"), F.col("line").alias("b"), F.col("chars").alias("b_chars"))
+    rows = lines.select(F.col("h1").alias("line"), "chars", "parities", F.inline(entries)).select("key", "own", "line", "chars", "parities")
+    held = rows.where("own").select("key", F.col("line").alias("a"), F.col("chars").alias("a_chars"), F.col("parities").alias("a_parities"))
+    asked = rows.select(F.col("key").alias("probe"), F.col("line").alias("b"), F.col("chars").alias("b_chars"), F.col("parities").alias("b_parities"))
     close = (F.col("b_chars") - F.col("a_chars")).between(0, edits)
+    close = close & (F.bit_count(F.col("a_parities").bitwiseXOR(F.col("b_parities"))) <= 2 * edits)
     met = held.join(asked, (F.col("key") == F.col("probe")) & (F.col("a") != F.col("b")) & close)
     return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
 
