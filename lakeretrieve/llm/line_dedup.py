@@ -20,7 +20,7 @@ before the shuffle, so a line in every document is one row.
 Defined cases: a null text has no lines and stays null; an empty one stays
 empty. A document all of whose lines go keeps its row with an empty text.
 Shorter lines, blank ones among them, always stay. Rows with equal ids count
-as one document. Null ids come last, by a hash of their text.
+as one document, and each keeps those of its lines that the document keeps. Null ids come last, by a hash of their text.
 Columns named like an output column are replaced.
 """
 
@@ -228,7 +228,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     firsts = (
         judged.groupBy(F.col("doc").alias("__doc"))
         .agg(
-            F.collect_list(F.when(near == 0, at)).alias("__kept"),
+            F.collect_list(F.when(near == 0, F.struct(at.alias("at"), "h1"))).alias("__kept"),
             F.count(F.lit(1)).alias("first"),
             F.sum(near).cast("long").alias("near"),
             F.coalesce(F.sum("links"), F.lit(0)).alias("links"),
@@ -239,7 +239,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
 
     def rebuilt(split: Column) -> Column:
         short = F.filter(F.sequence(F.lit(0), F.size(split) - 1), lambda i: F.length(F.get(split, i)) < min_chars)
-        places = F.sort_array(F.concat(short, F.coalesce("__kept", F.array().cast("array<int>"))))
+        # The hash tells rows of one id apart, whose lines at a position differ.
+        own = F.filter("__kept", lambda k: F.xxhash64(F.get(split, k["at"])) == k["h1"])
+        kept = F.when(F.col("__kept").isNotNull(), F.transform(own, lambda k: k["at"])).otherwise(F.array().cast("array<int>"))
+        places = F.sort_array(F.concat(short, kept))
         count = lambda name: F.coalesce(F.col("__counts")[name], F.lit(0)).cast("long").alias(name)
         return F.struct(
             F.array_join(F.transform(places, lambda i: F.get(split, i)), "\n").alias("text"),

@@ -106,19 +106,21 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def _per(part: str, total: str) -> Column:
-    return F.col(part) / F.greatest(F.col(total), F.lit(1))
+# Each feature is one count by another.
+FEATURES = {
+    "word_length": ("word_chars", "n_words"),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "dup_lines_per_word": ("n_dup_lines", "n_words"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "upper_share": ("n_upper", "n_chars_all"),
+    "bars_per_word": ("n_bars", "n_words"),
+    "exclaims_per_word": ("n_exclaims", "n_words"),
+}
 
 
-FEATURES: dict[str, Column] = {
-    "word_length": _per("word_chars", "n_words"),
-    "symbols_per_word": _per("n_symbols", "n_words"),
-    "dup_lines_per_word": _per("n_dup_lines", "n_words"),
-    "repeat_share": _per("n_repeat_words", "n_words"),
-    "upper_share": _per("n_upper", "n_chars_all"),
-    "bars_per_word": _per("n_bars", "n_words"),
-    "exclaims_per_word": _per("n_exclaims", "n_words"),
-}
+def ratio(name: str) -> Column:
+    part, total = FEATURES[name]
+    return F.col(part) / F.greatest(F.col(total), F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -128,7 +130,7 @@ class Condition:
     threshold: float
 
     def expression(self) -> Column:
-        value = FEATURES[self.feature]
+        value = ratio(self.feature)
         return value >= F.lit(self.threshold) if self.at_least else value < F.lit(self.threshold)
 
 
@@ -150,7 +152,7 @@ class Rule:
 def _thresholds(binned: DataFrame, bins: int) -> dict[str, list[float]]:
     """Cut points of each feature: quantiles of the bad rows and of the good rows."""
     at = [i / bins for i in range(bins + 1)]
-    rows = binned.groupBy("bad").agg(*[F.percentile_approx(value, at, 10000).alias(name) for name, value in FEATURES.items()])
+    rows = binned.groupBy("bad").agg(*[F.percentile_approx(ratio(name), at, 10000).alias(name) for name in FEATURES])
     cuts: dict[str, set[float]] = {name: set() for name in FEATURES}
     for row in rows.collect():
         for name in FEATURES:
@@ -224,7 +226,7 @@ def learn_rules(
     cuts = {name: c for name, c in _thresholds(labelled, bins).items() if c}
     if not cuts or labelled.select("bad").distinct().count() < 2:
         return []
-    bin_of = lambda name: F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda c: c <= FEATURES[name]))
+    bin_of = lambda name: F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda c: c <= ratio(name)))
     binned = stored(
         labelled.select(
             "bad",

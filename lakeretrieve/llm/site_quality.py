@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeretrieve.llm.common import stored
-from lakeretrieve.llm.quality_rules import FEATURES, with_statistics
+from lakeretrieve.llm.quality_rules import FEATURES, ratio, with_statistics
 from lakeretrieve.llm.registry import QUERIES, table
 
 # Labelled documents that the classifier is trained on, those of smallest hash.
@@ -46,7 +46,7 @@ def document_evidence(docs: DataFrame, labels: DataFrame, most_labelled: int = M
         .agg(F.min("quality").cast("double").alias("label"))
     )
     counted = stored(with_statistics(docs).drop("text"), "statistics")
-    features = [F.least(value.cast("double"), F.lit(20.0)).alias(name) for name, value in FEATURES.items()]
+    features = [F.least(ratio(name).cast("double"), F.lit(20.0)).alias(name) for name in FEATURES]
     length = F.log1p("n_words").alias("log_words")
     rows = stored(
         counted.join(known, F.col("doc_id") == F.col("known_id"), "left").select("doc_id", "host", "path", "label", length, *features), "features"

@@ -2,7 +2,8 @@
 
 A tokenizer works on pieces of text that never reach across white space, so a
 text's ids are those of its chunks put together, and most chunks have been
-seen before. The memory is bounded and is started anew when full. A text
+seen before. The memory is bounded: when it is full it becomes the older
+memory, and what was older is forgotten unless it was asked for again. A text
 for which chunks could differ from the whole is given to the tokenizer whole.
 """
 
@@ -14,14 +15,16 @@ from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-# Chunks remembered by a Python worker, and the longest chunk that is.
-MOST_CHUNKS = 700_000
+# Chunks remembered by a Python worker before the older ones are let go, and the longest chunk that is.
+MOST_CHUNKS = 450_000
 LONGEST_CHUNK = 64
 
 # What the tokenizers' own patterns and Python may see differently, or special tokens begin with.
 _ODD = re.compile(r"<\||[\x1c-\x1f]")
 # A white-space run that goes on beyond a single space between chunks.
 _LONG_GAP = re.compile(r"\s (?:\s|\Z)")
+# A word of Latin letters with marks after it: every tokenizer here splits them.
+_MARKED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:*#$%&|]*)")
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
@@ -32,17 +35,30 @@ def _bytes(ids: list[int]) -> bytes:
 class _Memory(dict):
     """Chunk to ids, as little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, tokenizer: Tokenizer, before: str = ""):
-        self.tokenizer, self.before = tokenizer, before
+    def __init__(self, tokenizer: Tokenizer, before: str = "", any_case: bool = False):
+        self.tokenizer, self.before, self.any_case = tokenizer, before, any_case
+        self.marks: dict[str, bytes] = self
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        found = _bytes(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids)
+        found = self.older.get(chunk)
+        if found is None:
+            found = self._made(chunk)
         if len(chunk) <= LONGEST_CHUNK:
             if len(self) >= MOST_CHUNKS:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = found
         return found
 
+    def _made(self, chunk: str) -> bytes:
+        if split := _MARKED.fullmatch(chunk):
+            word, marks = split.groups()
+            known = word.lower() if self.any_case else word
+            if known != chunk:
+                return self[known] + (self.marks[marks] if marks else b"")
+        return _bytes(self.tokenizer.encode(self.before + chunk, add_special_tokens=False).ids)
+
 
 class Encoder:
     """``encode(text)`` gives the ids of a text as bytes."""
@@ -51,8 +67,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Whether white space has ids of its own.
         self.keeps_space = bool(self.tokenizer.encode("a  b", add_special_tokens=False).ids != self.tokenizer.encode("a b", add_special_tokens=False).ids)
-        self.after_space = _Memory(self.tokenizer, " " if self.keeps_space else "")
-        self.chunks = _Memory(self.tokenizer)
+        same = self.tokenizer.encode("aB", add_special_tokens=False).ids == self.tokenizer.encode("ab", add_special_tokens=False).ids
+        self.chunks = _Memory(self.tokenizer, any_case=same)
+        self.after_space = _Memory(self.tokenizer, " " if self.keeps_space else "", same)
+        self.after_space.marks = self.chunks
 
     def encode(self, text: str) -> bytes:
         if _ODD.search(text):
