@@ -17,6 +17,7 @@ rule decides alone. Input columns named like an output column are replaced.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -102,8 +103,12 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+Count = Callable[[str], Column]
+
+
+def base_failed(count: Count = F.col) -> Column:
+    """The base rule on counts named by ``count``."""
+    return (count("n_words") < MIN_WORDS) | (100 * count("n_repeat_words") > MAX_REPEAT_PERCENT * count("n_words"))
 
 
 # Each feature is one count by another.
@@ -118,9 +123,9 @@ FEATURES = {
 }
 
 
-def ratio(name: str) -> Column:
+def ratio(name: str, count: Count = F.col) -> Column:
     part, total = FEATURES[name]
-    return F.col(part) / F.greatest(F.col(total), F.lit(1))
+    return count(part) / F.greatest(count(total), F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -129,8 +134,8 @@ class Condition:
     at_least: bool
     threshold: float
 
-    def expression(self) -> Column:
-        value = ratio(self.feature)
+    def expression(self, count: Count = F.col) -> Column:
+        value = ratio(self.feature, count)
         return value >= F.lit(self.threshold) if self.at_least else value < F.lit(self.threshold)
 
 
@@ -142,10 +147,10 @@ class Rule:
     bad: int
     good: int
 
-    def expression(self) -> Column:
+    def expression(self, count: Count = F.col) -> Column:
         found = F.lit(True)
         for c in self.conditions:
-            found = found & c.expression()
+            found = found & c.expression(count)
         return found
 
 
@@ -273,11 +278,11 @@ def learn_rules(
     return rules
 
 
-def verdict(rules: list[Rule]) -> Column:
+def verdict(rules: list[Rule], count: Count = F.col) -> Column:
     """The ordered list as one conditional expression: false if rejected."""
-    found = F.when(base_failed(), F.lit(False))
+    found = F.when(base_failed(count), F.lit(False))
     for rule in rules:
-        found = found.when(rule.expression(), F.lit(False))
+        found = found.when(rule.expression(count), F.lit(False))
     return found.otherwise(F.lit(True))
 
 
@@ -291,19 +296,12 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the list keeps, with their own columns.
 
-    Only labelled texts are counted for learning; the learned expression then
-    filters the scan, so no text is shuffled.
+    The learned list filters the scan and counts each text once there, so no
+    text is shuffled.
     """
-    named = labels.select(F.col("doc_id").alias("__known")).distinct()
-    sample = docs.select("doc_id", F.xxhash64("doc_id").alias("__h"), statistics("text").alias("__stat")).join(named, F.col("doc_id") == F.col("__known"), "left_semi")
-    rules = learn_rules(sample.select("doc_id", *[F.col("__stat")[c].alias(c) for c in STATISTICS]), labels)
-    flagged = docs.withColumn("__stat", statistics("text"))
-    as_columns = verdict(rules)
-    judged_rows = flagged.select(
-        *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(docs.columns)],
-        *[F.col("__stat")[c].alias(c) for c in STATISTICS],
-    ).where(as_columns)
-    return judged_rows.select(*[F.col(f"__in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    counted = stored(with_statistics(docs.select("doc_id", "text")).drop("text"), "statistics")
+    rules = learn_rules(counted, labels)
+    return docs.where(let(statistics("text"), lambda counts: verdict(rules, lambda name: counts[name])))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
