@@ -45,19 +45,20 @@ def train_centres(corpus: DataFrame, cells: int | None = None, metric: str = "co
         predictionCol="cell",
         distanceMeasure="cosine" if metric_kind(metric) == "cosine" else "euclidean",
     )
-    return kmeans.fit(_features(sample))
+    return kmeans.fit(_features(sample, kmeans.getDistanceMeasure()))
 
 
-def _features(df: DataFrame) -> DataFrame:
-    # A zero vector has no direction; cosine k-means rejects it.
-    return df.filter(F.exists("embedding", lambda x: x != 0)).withColumn(
+def _features(df: DataFrame, measure: str) -> DataFrame:
+    # A zero vector has no direction; cosine k-means rejects it. It has distances like any other.
+    usable = F.exists("embedding", lambda x: x != 0) if measure == "cosine" else F.col("embedding").isNotNull()
+    return df.filter(usable).withColumn(
         "features", array_to_vector(F.col("embedding").cast("array<double>"))
     )
 
 
 def assign_cells(corpus: DataFrame, model: KMeansModel) -> DataFrame:
     """Every row with the number of its nearest centre."""
-    return model.transform(_features(corpus)).drop("features")
+    return model.transform(_features(corpus, model.getDistanceMeasure())).drop("features")
 
 
 def assign_to_centres(corpus: DataFrame, centres: DataFrame, metric: str = "cosine") -> DataFrame:

@@ -114,7 +114,7 @@ def _all_match(postings: DataFrame, terms: DataFrame, n: int, phrase: bool) -> D
     at_anchor = postings.join(shipped(anchors, n), "term")
     if phrase:
         place = ["qid", "id", "start"]
-        candidates = at_anchor.select("qid", "id", "n_terms", "anchor", (F.col("pos") - F.col("anchor")).alias("start"))
+        candidates = at_anchor.select("qid", "id", "n_terms", "anchor", (F.col("pos") - F.col("anchor")).alias("start")).distinct()
     else:
         place = ["qid", "id"]
         candidates = at_anchor.select("qid", "id", "n_terms", "anchor").distinct()
@@ -130,7 +130,8 @@ def _all_match(postings: DataFrame, terms: DataFrame, n: int, phrase: bool) -> D
         ).distinct()
     complete = (
         found.groupBy(*place)
-        .agg(F.count(F.lit(1)).alias("hits"), F.max("n_terms").alias("n_terms"))
+        # Positions of the query, not rows: an id may be stored more than once.
+        .agg(F.count_distinct("qpos").alias("hits"), F.max("n_terms").alias("n_terms"))
         .filter(F.col("hits") == F.col("n_terms") - 1)
     )
     return complete.select("qid", "id").unionByName(single).distinct()

@@ -166,7 +166,7 @@ def test_month_folders_prune(spark, tmp_path):
 def test_vector_store(spark, tmp_path):
     store = S.HybridStore(spark, str(tmp_path / "vs"), lambda c: hash_embedding(c, 16))
     texts = spark.createDataFrame(
-        [("云器 Lakehouse 支持向量检索", '{"category":"tech"}'), ("全文检索 engine", '{"category":"tech"}'), ("noodle soup", '{"category":"food"}'), ("noodle soup", '{"category":"food"}')],
+        [("湖仓 Lakehouse 支持向量检索", '{"category":"tech"}'), ("全文检索 engine", '{"category":"tech"}'), ("noodle soup", '{"category":"food"}'), ("noodle soup", '{"category":"food"}')],
         "content string, metadata string",
     )
     ids = [r.id for r in store.add_texts(texts).collect()]

@@ -19,8 +19,8 @@ CASES = [
     ("", "keyword", []),
     ("", "unicode", []),
     ("?!", "unicode", []),
-    ("云器abc湖仓", "unicode", ["云", "器", "abc", "湖", "仓"]),
-    ("云器湖abc仓", "chinese", ["云器", "器湖", "abc", "仓"]),
+    ("数据abc湖仓", "unicode", ["数", "据", "abc", "湖", "仓"]),
+    ("数据湖abc仓", "chinese", ["数据", "据湖", "abc", "仓"]),
     ("数据 Lake", "ik", ["数据", "lake"]),
     ("x", "no such analyzer", ["x"]),
 ]
@@ -48,7 +48,7 @@ DOCS = [
     (6, None),
     (7, "fox"),
     (8, "fox fox fox"),
-    (9, "云器湖仓 supports fox"),
+    (9, "数据湖仓 supports fox"),
 ]
 QUERIES = [(1, "brown fox"), (2, "fox quick"), (3, "unknown fox"), (4, "FOX"), (5, "?!"), (6, "the the"), (7, "fox fox"), (8, "湖仓"), (9, "brown fox is quick")]
 
