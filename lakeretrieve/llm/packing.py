@@ -178,12 +178,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode
+        encode_all = encoder(vocabulary).encode_all
         part, seen = TaskContext.get().partitionId(), Counter()
         for rows in batches:
             out = []
-            for doc_id, text in zip(rows["doc_id"].astype(object), rows["text"]):
-                ids = encode(text) + end
+            for doc_id, ids in zip(rows["doc_id"].astype(object), encode_all(rows["text"])):
+                ids += end
                 cuts = [0, *range(len(ids) // 4 % capacity or capacity, len(ids) // 4 + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     out.append((part, seen[b - a], None if pd.isna(doc_id) else int(doc_id), piece, a, b - a, zlib.crc32(ids[4 * a : 4 * b])))

@@ -43,6 +43,8 @@ PACKINGS = [
     (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
 ]
 ESCAPE = 15
+# The least id of each number of bits: an id has as many bits as limits it reaches.
+LIMITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 # The escape keeps one id; its payload is a place in the table of escapes.
 WIDEST = 30
 BLOCK_IDS = 8192
@@ -50,17 +52,22 @@ SEGMENT_IDS = 1 << 18
 
 
 def _steps(ids: np.ndarray) -> np.ndarray:
-    """The selector that packs most ids at each place, as if a word began there."""
+    """The selector that packs most ids at each place, as if a word began there.
+
+    Of windows of growing length the widest id is kept, in bits; windows that
+    reach beyond the end count as too wide.
+    """
     n = len(ids)
+    bits = np.full(n + PACKINGS[0][0], 255, np.uint8)
+    bits[:n] = np.searchsorted(LIMITS, ids, side="right")
     best = np.full(n, ESCAPE, np.uint8)
-    places = np.arange(n)
+    widest, reach = bits, 1
     for selector in reversed(range(ESCAPE)):
-        count, bits = PACKINGS[selector]
-        if count > n:
-            continue
-        wide = np.where(ids >= np.uint64(1 << bits), places, n)
-        until = np.minimum.accumulate(wide[::-1])[::-1]
-        best[until - places >= count] = selector
+        count, width = PACKINGS[selector]
+        while reach < count:
+            more = min(count - reach, reach)
+            widest, reach = np.maximum(widest[: len(widest) - more], widest[more:]), reach + more
+        best[widest[:n] <= width] = selector
     return best
 
 
@@ -130,7 +137,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode
+        encode_all = encoder(vocabulary).encode_all
         part, seg, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, coded, held = [], [], 0
 
@@ -140,8 +147,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
             return pd.DataFrame([(part, seg, before, list(doc_ids), lengths, encode_segment(ids))], columns=["part", "seg", "before", "doc_ids", "lengths", "payload"])
 
         for rows in batches:
-            for doc_id, text in zip(rows["doc_id"].astype(object), rows["text"]):
-                ids = encode(text) + end
+            for doc_id, ids in zip(rows["doc_id"].astype(object), encode_all(rows["text"])):
+                ids += end
                 if held and held + len(ids) > 4 * SEGMENT_IDS:
                     yield segment()
                     seg, before = seg + 1, before + held // 4
