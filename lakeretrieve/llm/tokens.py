@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 MOST_CHUNKS = 450_000
 LONGEST_CHUNK = 64
 # Characters of a block of texts (a longer text is a block of its own), and chunks tokenized together.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 TOGETHER = 64
 
 # Stands between chunks; no text that is cut into chunks has it.
