@@ -37,7 +37,11 @@ def message_json(kind: Column, content: Column) -> Column:
 
 
 def parse_message(message: Column) -> Column:
-    """``struct(type, content)``, null when the text does not parse."""
+    """``struct(type, content)``, null when the text does not parse.
+
+    Control characters that a writer left in are removed first.
+    """
+    message = clean_text(message)
     parsed = F.when(is_json(message), F.try_parse_json(message))
     kind = F.try_variant_get(parsed, "$.type", "string")
     return F.when(

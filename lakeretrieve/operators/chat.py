@@ -16,9 +16,13 @@ PART_MESSAGES = 1000
 
 
 def decode(log: DataFrame) -> DataFrame:
-    """Stored ``message`` JSON as type and content; unparsable rows are skipped."""
+    """Stored ``message`` JSON as type and content; unparsable rows are skipped.
+
+    A ``position`` given to the raw rows is kept.
+    """
+    placed = [c for c in log.columns if c == "position"]
     parsed = log.withColumn("__m", parse_message(F.col("message"))).filter(F.col("__m").isNotNull())
-    return parsed.select("session_id", "seq", "ts", F.col("__m.type").alias("type"), F.col("__m.content").alias("content"))
+    return parsed.select("session_id", "seq", "ts", F.col("__m.type").alias("type"), F.col("__m.content").alias("content"), *placed)
 
 
 def encode(messages: DataFrame) -> DataFrame:

@@ -119,11 +119,12 @@ def render_top(df: DataFrame, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     )
 
 
-def run_text(spark: SparkSession, query: str, limit: int) -> str:
-    """Rows of a statement as text, ``limit`` at most; errors become text."""
+def run_text(spark: SparkSession, query: str, limit: int | None = None) -> str:
+    """Rows of a statement as text, all of them or ``limit`` at most; errors become text."""
     try:
         result = execute(spark, query)
-        lines = [row[0] for row in result.limit(limit).select(row_line(result.columns)).collect()]
+        shown = result if limit is None else result.limit(limit)
+        lines = [row[0] for row in shown.select(row_line(result.columns)).collect()]
     except PySparkException as e:
         return f"Error executing query: {e}"
     if not lines:

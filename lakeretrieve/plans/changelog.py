@@ -36,10 +36,10 @@ def apply_upsert(
     the order column.
     """
     batch = last_per_key(changes.select(*keys, *values, "ts", order), keys, [order]).select(
-        *keys, *[F.col(v).alias(f"__new_{v}") for v in values], F.col("ts").alias("__ts")
+        *keys, *[F.col(v).alias(f"__new_{v}") for v in values], F.col("ts").alias("__ts"), F.lit(True).alias("__changed")
     )
     merged = current.join(batch, list(keys), "full")
-    changed = F.col("__ts").isNotNull()
+    changed = F.col("__changed").isNotNull()
     return merged.select(
         *keys,
         *[F.when(changed, F.col(f"__new_{v}")).otherwise(F.col(v)).alias(v) for v in values],

@@ -266,7 +266,8 @@ class ChatHistory:
         return chat.messages(self.log(), sessions)
 
     def last_messages(self, n: int) -> DataFrame:
-        return chat.last_messages(self.log(), n)
+        """The last n stored rows of each session; those that do not parse are then skipped."""
+        return chat.decode(chat.last_messages(self.table.current(), n))
 
     def in_range(self, start: Column | None = None, end: Column | None = None) -> DataFrame:
         return chat.in_range(self.log(), start, end)
@@ -303,8 +304,8 @@ class SqlDatabase:
     def table_info(self, tables: Sequence[str] | None = None) -> DataFrame:
         return sqlsurface.describe_tables(self.spark, tables, self.database)
 
-    def run(self, query: str, limit: int = 1000) -> str:
-        """Rows as a text table for a prompt; errors come back as text."""
+    def run(self, query: str, limit: int | None = None) -> str:
+        """Rows as a text table for a prompt, all of them without a limit; errors come back as text."""
         return sqlsurface.run_text(self.spark, query, limit)
 
     def answer(self, questions: DataFrame, generate, format_answer, **options) -> DataFrame:
