@@ -34,5 +34,7 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components are still changing after {rounds} rounds")
     roots = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
