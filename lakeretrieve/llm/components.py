@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakeretrieve.llm.common import stored
 
+# Links that one task writes to a file; a small table of links is not spread over as many files as there are partitions.
+LINKS_PER_FILE = 1_000_000
+
 
 def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
     """``node, root`` of every linked node; the root is the smallest node of its component.
@@ -20,7 +23,7 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
     edges = stored(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links"
     )
-    before = None
+    before = (edges.count(),)
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("m", "u").alias("m"))
@@ -29,7 +32,9 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
         hooked = large.join(low, F.col("u") == F.col("n"))
         small = hooked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(hooked.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u <> v").distinct(), "links")
+        # A round makes at most twice the links it began with.
+        files = max(1, -(-2 * before[0] // LINKS_PER_FILE))
+        edges = stored(small.where("u <> v").distinct().coalesce(files), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
