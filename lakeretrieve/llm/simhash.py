@@ -47,21 +47,26 @@ BLOCK = 1024
 CHUNK = 65536
 
 
-def fingerprint(text: bytes | None, width: int) -> int:
-    """Bitwise majority of the shingles' hashes; bytes.split and bytes.lower act on ASCII only."""
+def shingles(text: bytes | None, width: int) -> np.ndarray:
+    """Hashes of all shingles; bytes.split and bytes.lower act on ASCII only. Fewer words than ``width`` are one shingle."""
     found = (text or b"").lower().split()
     if not found:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(found)
     digest = xxhash.xxh64_intdigest
     if len(found) <= width:
-        return digest(joined, SEED)
+        return np.array([digest(joined, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    hashes = np.array(
+    return np.array(
         [digest(joined[a:b], SEED) for a, b in zip(starts[: len(found) - width + 1].tolist(), ends[width - 1 :].tolist())],
         np.uint64,
     )
+
+
+def fingerprint(text: bytes | None, width: int) -> int:
+    """Bitwise majority of the shingles' hashes."""
+    hashes = shingles(text, width)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), CHUNK):
         octets = hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8)
