@@ -3,7 +3,8 @@
 A text is read as its words: runs of ASCII digits and letters and of characters
 beyond ASCII, A-Z in lower case. Each rule is a regular expression over the words
 joined by single spaces. Rules come from a table of licenses and a table of
-wordings; a rule is tried only if its keyword is among the text's words.
+wordings, from short forms that stand without the word license, and from sentences of
+license bodies and file headers; a rule is tried only if its keyword is among the text's words.
 Detections are taken in order of priority; one that lies within a taken one is
 suppressed. The four base phrases are always reported.
 
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -103,6 +103,8 @@ LICENSES = [
     ("sspl", "sspl", r"sspl(?: ?v?1)?|server side public"),
     ("elastic", "elastic", r"elastic(?: 2 0)?"),
     ("openrail", "openrail", r"(?:creativeml )?openrail(?: m)?"),
+    ("cc-by-nc-sa", "sharealike", r"(?:creative commons )?attribution (?:noncommercial|non commercial) (?:sharealike|share alike)"),
+    ("cc-by-nc-nd", "noderivatives", r"(?:creative commons )?attribution (?:noncommercial|non commercial) (?:noderivatives|no derivatives|noderivs)"),
     ("proprietary", "proprietary", r"proprietary"),
     ("proprietary", "commercial", r"commercial"),
 ]
@@ -115,10 +117,96 @@ WORDINGS = [
     ("field", 2, 0.8, r"licen[sc]e(?:s|d)?(?: under| is| type)? (?:the )?(?:{0})"),
     ("title", 1, 0.7, r"(?:{0}) licen[sc]es?(?: v(?:ersion)? ?\d(?: \d)?)?"),
 ]
-# What every wording contains, and what the base phrases need besides.
-GATES = (b"licen", b"cc")
+# Every wording has a word with this in it.
+WORDING_HAS = b"licen"
+
+# Label, keyword, expression of names that are clear without the word license; wordings apply to them too.
+_CC_VERSION = r"(?: [1-4] [05](?: international| unported)?)?"
+SHORT = [
+    *[
+        (f"cc-by{kind}", keyword, name + r" by" + kind.replace("-", " ") + _CC_VERSION)
+        for kind in ("", "-sa", "-nc", "-nd", "-nc-sa", "-nc-nd")
+        for keyword, name in (("cc", "cc"), ("commons", "creative commons"))
+    ],
+    ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
+    ("cc0", "zero", r"(?:creative commons|cc) zero(?: v?1 0)?"),
+    *[("gpl", f"gpl{v}{n}", rf"(?:gnu )?gpl{v}{n}(?: 0)?(?: only| or later)?") for v in ("v", "") for n in "123"],
+    ("gpl", "gpl", r"(?:gnu )?gpl(?: v(?:ersion)?)? ?[123](?: 0)?(?: only| or later)?"),
+    ("gpl", "gpl", r"gpl v[123](?: 0)?(?: only| or later)?"),
+    ("gpl", "gpl", r"gnu gpl"),
+    *[("lgpl", f"lgpl{v}{n}", rf"(?:gnu )?lgpl{v}{n}(?: [01])?(?: only| or later)?") for v in ("v", "") for n in "23"],
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl(?:(?: v| version)? ?[23](?: [01])?)?(?: only| or later)?"),
+    ("lgpl", "lgpl", r"lgpl v[23](?: [01])?(?: only| or later)?"),
+    *[("agpl", f"agpl{v}3", rf"(?:gnu )?agpl{v}3(?: 0)?(?: only| or later)?") for v in ("v", "")],
+    ("agpl", "agpl", r"(?:gnu )?agpl(?: v?3(?: 0)?)?(?: only| or later)?"),
+    ("gfdl", "gfdl", r"(?:gnu )?gfdl(?: 1 [1-3])?(?: only| or later)?"),
+    ("apache", "apache", r"apache(?: v| version)? ?2 0"),
+    ("apache", "apache", r"apache v2(?: 0)?"),
+    ("apache", "apache2", r"apache2"),
+    ("bsd-2-clause", "bsd", r"bsd 2 clause|2 clause bsd"),
+    ("bsd-3-clause", "bsd", r"bsd 3 clause|3 clause bsd"),
+    ("bsd-4-clause", "bsd", r"bsd 4 clause|4 clause bsd"),
+    ("0bsd", "0bsd", r"0bsd"),
+    *[("mpl", f"mpl{v}", rf"mpl{v}(?: 0)?") for v in ("2", "v2")],
+    ("mpl", "mpl", r"mpl v?[12] [01]"),
+    *[("epl", f"epl{v}", rf"epl{v}(?: 0)?") for v in ("1", "2", "v1", "v2")],
+    ("epl", "epl", r"epl v?[12] 0"),
+    ("cddl", "cddl", r"cddl(?: 1 [01])?"),
+    ("eupl", "eupl", r"eupl(?: v?1 [0-2])?"),
+    ("odbl", "odbl", r"odbl(?: v?1 0)?"),
+    ("ofl", "ofl", r"(?:sil )?ofl 1 [01]"),
+    ("boost", "bsl", r"bsl 1 0"),
+    ("busl", "busl", r"busl 1 1"),
+    ("osl", "osl", r"osl 3 0"),
+    ("wtfpl", "wtfpl", r"wtfpl"),
+    ("sspl", "sspl", r"sspl(?: v?1(?: 0)?)?"),
+    ("unlicense", "unlicense", r"unlicense"),
+]
+SHORT_PRIORITY, SHORT_WEIGHT = 0, 0.75
+
+# Label, keyword, sentence of a license's body or of the header that it asks for.
+_GRANT = r"permission is hereby granted free of charge to any person obtaining a copy"
+_FEE = r"permission to use copy modify (?:and )?(?:or )?distribute this software for any purpose with or without fee is hereby granted"
+_MODIFY = r"you (?:can|may) redistribute it and or modify it under the terms of the gnu "
+_DETAILS = r"merchantability or fitness for a particular purpose see the gnu "
+SENTENCES = [
+    ("mit", "hereby", _GRANT),
+    ("mit", "hereby", _GRANT + r" of this software and associated documentation files(?: the software)? to deal in the software"),
+    ("mit", "substantial", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("ncsa", "hereby", _GRANT + r" of this software and associated documentation files(?: the software)? to deal with the software"),
+    ("ofl", "hereby", _GRANT + r" of the font software"),
+    ("boost", "hereby", r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("isc", "hereby", _FEE),
+    ("isc", "hereby", _FEE + r" provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", "hereby", _FEE + r" the software is provided"),
+    ("postgresql", "hereby", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms(?: with or without modification)?(?: are permitted)?(?: provided that the following conditions are met)?"),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", "endorse", r"neither the names? of(?: [^ ]+){1,12} nor the names? of(?: [^ ]+){1,6} may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("apache", "compliance", r"you may not use this (?:file|work|software|project|code) except in compliance with the license"),
+    ("apache", "applicable", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", "asf", r"licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("gpl", "redistribute", _MODIFY + r"general public"),
+    ("lgpl", "redistribute", _MODIFY + r"(?:lesser|library) general public"),
+    ("agpl", "redistribute", _MODIFY + r"affero general public"),
+    ("gpl", "merchantability", _DETAILS + r"general public"),
+    ("lgpl", "merchantability", _DETAILS + r"(?:lesser|library) general public"),
+    ("agpl", "merchantability", _DETAILS + r"affero general public"),
+    ("gfdl", "document", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public"),
+    ("epl", "eclipse", r"made available under the terms of the eclipse public"),
+    ("cddl", "distribution", r"subject to the terms of the common development and distribution"),
+    ("zlib", "liable", r"in no event will the authors? be held liable for any damages arising from the use of this software"),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("unlicense", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", r"do what the fuck you want to"),
+    ("cc0", "waived", r"waived all copyright and related or neighbou?ring rights"),
+    ("cc", "redistribute", r"copy and redistribute the material in any medium or format"),
+]
+SENTENCE_PRIORITY, SENTENCE_WEIGHT = 6, 0.9
 
-IS_WORD = np.array([(48 <= c <= 57) or (97 <= c <= 122) or c >= 128 for c in range(256)])
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -130,16 +218,23 @@ class Rule:
     priority: int
     weight: float
     expression: re.Pattern[bytes]
+    needs: bytes = b""  # what a text with a match contains besides the keyword
+
+
+def _expression(words: str) -> re.Pattern[bytes]:
+    return re.compile(rb"(?<![^ ])(?:" + words.encode() + rb")(?![^ ])")
 
 
 @lru_cache(maxsize=1)
 def rules() -> list[Rule]:
-    """Every license in every wording, highest priority first."""
+    """Every license in every wording, short forms and sentences, highest priority first."""
     made = [
-        Rule(f"{label}-{keyword}-{name}", label, keyword.encode(), priority, weight, re.compile(rb"(?<![^ ])(?:" + wording.format(body).encode() + rb")(?![^ ])"))
-        for label, keyword, body in LICENSES
+        Rule(f"{label}-{keyword}-{name}", label, keyword.encode(), priority, weight, _expression(wording.format(body)), WORDING_HAS)
+        for label, keyword, body in [*LICENSES, *SHORT]
         for name, priority, weight, wording in WORDINGS
     ]
+    made += [Rule(f"{label}-{keyword}-short", label, keyword.encode(), SHORT_PRIORITY, SHORT_WEIGHT, _expression(body)) for label, keyword, body in SHORT]
+    made += [Rule(f"{label}-{keyword}-sentence", label, keyword.encode(), SENTENCE_PRIORITY, SENTENCE_WEIGHT, _expression(body)) for label, keyword, body in SENTENCES]
     return sorted(made, key=lambda r: -r.priority)
 
 
@@ -153,13 +248,13 @@ def _by_keyword() -> dict[bytes, list[Rule]]:
 
 @lru_cache(maxsize=1)
 def _base() -> list[tuple[str, re.Pattern[bytes]]]:
-    return [(label, re.compile(rb"(?<![^ ])" + phrase.encode() + rb"(?![^ ])")) for phrase, label in BASE.items()]
+    return [(label, _expression(phrase)) for phrase, label in BASE.items()]
 
 
-def count_words(low: bytes) -> int:
-    """Words of a lower-case text, counted at their first bytes."""
-    inside = IS_WORD[np.frombuffer(low, np.uint8)]
-    return int(inside[:1].sum() + (inside[1:] & ~inside[:-1]).sum())
+@lru_cache(maxsize=1)
+def _gate() -> frozenset[bytes]:
+    """Words of which a text has one if any rule or base phrase matches."""
+    return frozenset(_by_keyword()) | {phrase.split()[0].encode() for phrase in BASE}
 
 
 def _unsuppressed(found: list[tuple[Rule, int, int]]) -> list[tuple[Rule, int, int]]:
@@ -174,15 +269,15 @@ def _unsuppressed(found: list[tuple[Rule, int, int]]) -> list[tuple[Rule, int, i
 def scan(text: bytes | None) -> tuple:
     """Words, base places and labels, and the detections of one text given in UTF-8."""
     low = (text or b"").lower()  # of bytes, so A-Z only
-    if not any(gate in low for gate in GATES):
-        return count_words(low), 0, None, None, "", "", 0.0, []
     words = _WORDS.findall(low)
+    known = _gate().intersection(words)
+    if not known:
+        return len(words), 0, None, None, "", "", 0.0, []
     joined = b" ".join(words)
     place = lambda at: joined.count(b" ", 0, at)
     base = [(label, m.start()) for label, expression in _base() for m in expression.finditer(joined)]
     starts = [at for _, at in base]
-    known = set(words)
-    tried = [rule for keyword in known & _by_keyword().keys() for rule in _by_keyword()[keyword]]
+    tried = [rule for keyword in known & _by_keyword().keys() for rule in _by_keyword()[keyword] if rule.needs in low]
     found = _unsuppressed([(rule, m.start(), m.end()) for rule in tried for m in rule.expression.finditer(joined)])
     base_labels = {label for label, _ in base}
     doubt = 1.0
