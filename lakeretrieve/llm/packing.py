@@ -6,9 +6,10 @@ pieces' lengths alone, so what is solved is the histogram of lengths, at most
 undominated fillings of the rest of its sequence are enumerated, largest pieces first; a
 filling without waste ends the search. The filling is used as often as its
 pieces last, so the plan has fewer patterns than there are lengths. Best-fit
-decreasing gives the incumbent; if the plan is above the lower bound and small,
-branch and bound over alternative fillings goes on within the waste that a
-better packing may have.
+decreasing gives the incumbent; while the plan is above the lower bound,
+branch and bound goes on within the waste that a better packing may have. A
+branch is a filling and how many times it is used, so the search depends on
+the lengths and not on the number of sequences; it ends after ``SEARCH_NODES``.
 
 The pieces find their places by rank: the plan says which ranks of a length go to
 which sequence and offset. Ranks come from counts per task and length.
@@ -36,48 +37,56 @@ from lakeretrieve.llm.registry import QUERIES, table
 from lakeretrieve.llm.tokens import encoder
 
 CAPACITY = 2048
-# Partial fillings looked at for one sequence, and for the search over whole packings.
+# Partial fillings looked at for one sequence, and in all of the search over whole packings.
 FILLING_NODES = 1500
-SEARCH_NODES = 20000
-SEARCH_BINS = 150
+SEARCH_NODES = 300_000
 
 Pattern = tuple[tuple[int, ...], int]  # lengths, largest first, and how many sequences
 
 
-def fillings(counts: Counter, room: int, nodes: int = FILLING_NODES) -> Iterator[tuple[int, ...]]:
+def fillings(
+    counts: Counter, room: int, nodes: int = FILLING_NODES, every: bool = False, budget: list[int] | None = None
+) -> Iterator[tuple[int, ...]]:
     """Undominated sets of pieces that fit in ``room``, largest pieces first.
 
     A set is dominated if one of its pieces can be replaced by a larger free
-    one. The first set is the best-fit one; a set without waste is the last.
+    one. The first set is the best-fit one; a set without waste is the last
+    unless ``every`` one is wanted. The partial sets looked at are taken off ``budget``.
     """
     lengths = sorted(x for x in counts if counts[x] > 0 and x <= room)
-    left = [nodes]
+    chosen: list[int] = []
+    held: Counter = Counter()
 
-    def grow(chosen: list[int], room: int, most: int) -> Iterator[tuple[int, ...]]:
-        left[0] -= 1
-        fits = False
-        for at in range(bisect_right(lengths, min(room, most)) - 1, -1, -1):
-            length = lengths[at]
-            if counts[length] <= chosen.count(length):
-                continue
-            fits = True
-            yield from grow([*chosen, length], room - length, length)
-            if left[0] <= 0:
-                return
-        if not fits and not any(_replaceable(chosen, x, room) for x in set(chosen)) and not _addable(chosen, room):
-            yield tuple(chosen)
-
-    def _addable(chosen: list[int], room: int) -> bool:
-        return any(counts[x] > chosen.count(x) for x in lengths[: bisect_right(lengths, room)])
+    def addable(room: int) -> bool:
+        return any(counts[x] > held[x] for x in lengths[: bisect_right(lengths, room)])
 
-    def _replaceable(chosen: list[int], x: int, room: int) -> bool:
+    def replaceable(x: int, room: int) -> bool:
         larger = lengths[bisect_right(lengths, x) : bisect_right(lengths, x + room)]
-        return any(counts[y] > chosen.count(y) for y in larger)
-
-    for found in grow([], room, room):
-        yield found
-        if sum(found) == room:
-            return
+        return any(counts[y] > held[y] for y in larger)
+
+    # Of each chosen piece, and before any: the next length to try, the room left, and whether a piece was added.
+    frames = [[bisect_right(lengths, room) - 1, room, False]]
+    while frames:
+        at, space, fits = frames[-1]
+        while at >= 0 and counts[lengths[at]] <= held[lengths[at]]:
+            at -= 1
+        if at >= 0 and not (fits and nodes <= 0):
+            length = lengths[at]
+            frames[-1] = [at - 1, space, True]
+            frames.append([bisect_right(lengths, min(space - length, length)) - 1, space - length, False])
+            chosen.append(length)
+            held[length] += 1
+            nodes -= 1
+            if budget is not None:
+                budget[0] -= 1
+            continue
+        if not fits and not addable(space) and not any(replaceable(x, space) for x in set(chosen)):
+            yield tuple(chosen)
+            if space == 0 and not every:
+                return
+        frames.pop()
+        if chosen:
+            held[chosen.pop()] -= 1
 
 
 def _lower_bound(counts: Counter, capacity: int) -> int:
@@ -131,30 +140,63 @@ def best_fit_decreasing(histogram: dict[int, int], capacity: int = CAPACITY) ->
     return [(p, n) for held in bins.values() for p, n in held.items()]
 
 
-def _search(histogram: dict[int, int], capacity: int, limit: int) -> list[Pattern] | None:
-    """A packing of at most ``limit`` sequences, by branch and bound, or None if none was found."""
-    spare = limit * capacity - sum(x * n for x, n in histogram.items())
-    nodes = [SEARCH_NODES]
-
-    def go(counts: Counter, spare: int) -> list[Pattern] | None:
-        if not counts:
-            return []
-        nodes[0] -= 1
-        if nodes[0] <= 0:
-            return None
+def _times(most: int) -> Iterator[int]:
+    """All numbers from 1 to ``most``: the halves of ``most`` first."""
+    halves = [most >> i for i in range(most.bit_length())]
+    yield from halves
+    yield from (k for k in range(most - 1, 0, -1) if k not in halves)
+
+
+def _search(histogram: dict[int, int], capacity: int, limit: int, nodes: list[int], fewer: bool) -> list[Pattern] | None:
+    """A packing of at most ``limit`` sequences, by branch and bound, or None if none was found within ``nodes``.
+
+    A filling is used as often as its pieces last and, if ``fewer``, also fewer times.
+    """
+
+    def branches(counts: Counter, spare: int, used: frozenset) -> Iterator[tuple[Counter, int, frozenset, Pattern]]:
+        """What is left of the pieces and of the waste after each filling around the largest piece, used a number of times."""
         largest = max(counts)
-        rest = counts - Counter([largest])
-        options = sorted(fillings(rest, capacity - largest), key=lambda f: (-sum(f), len(f)))
-        for filling in options:
-            waste = capacity - largest - sum(filling)
+        room, rest = capacity - largest, counts - Counter([largest])
+
+        def options() -> Iterator[tuple[int, ...]]:
+            first = max(fillings(rest, room, budget=nodes), key=sum, default=())
+            yield first
+            others = sorted(fillings(rest, room, every=True, budget=nodes), key=lambda f: (-sum(f), len(f)))
+            yield from (f for f in others if f != first)
+
+        for filling in options():
+            waste = room - sum(filling)
             if waste > spare:
-                break
-            found = go(rest - Counter(filling), spare - waste)
-            if found is not None:
-                return [((largest, *filling), 1), *found]
-        return None
+                return
+            pattern = (largest, *filling)
+            if pattern in used:
+                continue
+            need = Counter(pattern)
+            most = min(counts[x] // n for x, n in need.items())
+            most = min(most, spare // waste) if waste else most
+            for times in _times(most) if fewer else (most,):
+                nodes[0] -= 1
+                after = Counter({x: left for x, n in counts.items() if (left := n - times * need[x])})
+                yield after, spare - waste * times, used | {pattern} if largest in after else frozenset(), (pattern, times)
 
-    return go(Counter(histogram), spare) if spare >= 0 else None
+    spare = limit * capacity - sum(x * n for x, n in histogram.items())
+    if spare < 0:
+        return None
+    taken: list[Pattern] = []
+    open_ = [branches(Counter(histogram), spare, frozenset())]
+    while open_ and nodes[0] > 0:
+        branch = next(open_[-1], None)
+        if branch is None:
+            open_.pop()
+            if taken:
+                taken.pop()
+            continue
+        after, spare, used, pattern = branch
+        taken.append(pattern)
+        if not after:
+            return taken
+        open_.append(branches(after, spare, used))
+    return None
 
 
 def pack(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
@@ -162,11 +204,13 @@ def pack(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
     least = _lower_bound(Counter(histogram), capacity)
     bins = lambda patterns: sum(n for _, n in patterns)
     best = min(complete(histogram, capacity), best_fit_decreasing(histogram, capacity), key=bins)
-    while least < bins(best) <= SEARCH_BINS:
-        better = _search(histogram, capacity, bins(best) - 1)
-        if better is None:
-            break
-        best = better
+    for fewer in (False, True):
+        nodes = [SEARCH_NODES // 2]
+        while least < bins(best):
+            better = _search(histogram, capacity, bins(best) - 1, nodes, fewer)
+            if better is None:
+                break
+            best = better
     return best
 
 
@@ -219,7 +263,7 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("length").alias("l"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     ranked = cut.join(offsets, (F.col("length") == F.col("l")) & (F.col("part") == F.col("p"))).withColumn("rank", F.col("before") + F.col("nth"))
-    # Fewer patterns than lengths, each with few lengths: a table of bounded size.
+    # No more patterns than lengths and nodes of the search, each with few lengths: a table of bounded size.
     within = (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     placed = ranked.join(F.broadcast(plan), within)
     nth = F.col("rank") - F.col("low")
