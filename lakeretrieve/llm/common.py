@@ -39,6 +39,21 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """``name``, lengthened until no column of the tables has it in any case."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rows_kept(numbered: DataFrame, key: str, kept: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows whose ``key`` is in ``kept``, a table of one column."""
+    other = unused("__kept", numbered)
+    met = numbered.join(kept.toDF(other), F.col(f"`{key}`") == F.col(other), "left_semi")
+    return met.select(*[F.col(f"`{c}`") for c in columns])
+
+
 def with_row_key(docs: DataFrame, key: str) -> DataFrame:
     """The rows stored with a number of their own, for ids that are null or repeat."""
     return stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")

@@ -1,6 +1,8 @@
 """All named queries of this subpackage."""
 
 from lakeretrieve.llm import (  # noqa: F401  (imported for their entries)
+    filter_audit,
+    importance,
     licenses,
     line_dedup,
     mixing,
