@@ -6,6 +6,7 @@ from lakeretrieve.llm import (  # noqa: F401  (imported for their entries)
     licenses,
     line_dedup,
     mixing,
+    ngram_join,
     packing,
     quality_rules,
     secrets,
