@@ -20,11 +20,11 @@ How frequent a token is comes from counters over all texts, a fixed number of
 them, shared by tokens of equal remainder. Any order and classes are exact, so
 shared counters change the work and never the result.
 
-Equal sets are one node. Nodes that meet are compared with the smallest node of
-the key, which links large groups of near copies by stars; then those still
-in different components are compared with each other, in blocks where a key is
-crowded. Parities of the tokens in 512 bits bound how far two sets differ, so
-nodes that share a passage only make no rows. Texts are fetched for the
+Equal sets are one node. In a few turns, one node of each key is compared with the
+key's nodes of other components; each key has its own, so a group of near copies
+is linked by many stars. Then the nodes that still meet other components are
+all compared, in blocks where a key is crowded. Parities of the tokens bound how far two sets
+differ, so nodes that share a passage only make no rows. Texts are fetched for the
 pairs left, and the whole sets are compared. Texts meet in groups of one node
 and at most about ``BLOCK`` others.
 
@@ -61,7 +61,11 @@ TOKENS_PER_CLASS = 10
 # Other nodes that a node is compared with in one group, and nodes of a block of a crowded key.
 BLOCK = 256
 CROWDED = 4096
-PARITIES = [f"p{i}" for i in range(8)]
+# Bits that tell the rows whose texts are fetched, as a table of an eighth of so many bytes.
+FILTER_BITS = 1 << 24
+# Turns of stars before all remaining pairs are compared; more of them leave fewer pairs.
+TURNS = 2
+PARITIES = [f"p{i}" for i in range(4)]
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -177,12 +181,18 @@ def prefix_keys(tokens: np.ndarray, loads: np.ndarray, limits: list[float], num:
     return np.concatenate(found).view(np.int64)
 
 
-def parities(tokens: np.ndarray) -> np.ndarray:
-    """512 bits: whether an odd number of tokens falls on each. Sets differ in at least as many tokens as bits."""
-    odd = np.bincount((tokens >> np.uint64(55)).view(np.int64), minlength=512) & 1
+def parities(tokens: np.ndarray, width: int = 64 * len(PARITIES)) -> np.ndarray:
+    """Whether an odd number of tokens falls on each of ``width`` bits. Sets differ in at least as many tokens as bits."""
+    odd = np.bincount((tokens % np.uint64(width)).view(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def wide_parities(tokens: np.ndarray) -> np.ndarray:
+    """A bit a token or more for sets beyond the narrow width, else none. Half as many bits are both halves' exclusive or."""
+    n = len(tokens)
+    return parities(tokens, 1 << (n - 1).bit_length()) if n > 64 * len(PARITIES) else np.zeros(0, np.int64)
+
+
 def with_row_numbers(docs: DataFrame) -> DataFrame:
     """``doc_id, text, row``: ``row`` tells rows apart and stays the same when the table is read again.
 
@@ -198,14 +208,14 @@ def with_row_numbers(docs: DataFrame) -> DataFrame:
 
 
 def with_keys(numbered: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``doc_id, row, fp, n, p0 .., keys``; of equal sets in a task the first has the keys."""
+    """``doc_id, row, fp, n, p0 .., wide, keys``; of equal sets in a task the first has the keys."""
     loads = token_loads(numbered.select("text"), width)
     limits = order_limits(loads)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            prints, sizes, bits, keys = [], [], [], []
+            prints, sizes, bits, wide, keys = [], [], [], [], []
             for text in texts_of(batch):
                 found = token_set(text, width)
                 fp = xxh64_intdigest(found.tobytes()) - 2**63
@@ -214,13 +224,15 @@ def with_keys(numbered: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 prints.append(fp)
                 sizes.append(len(found))
                 bits.append(parities(found))
+                wide.append(wide_parities(found))
             bits = np.array(bits, np.int64).reshape(-1, len(PARITIES))
             columns = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), *[pa.array(bits[:, i]) for i in range(len(PARITIES))]]
-            names = ["doc_id", "row", "fp", "n", *PARITIES, "keys"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *columns, pa.array(keys, pa.list_(pa.int64()))], names)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (wide, keys)]
+            names = ["doc_id", "row", "fp", "n", *PARITIES, "wide", "keys"]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *columns, *lists], names)
 
     kind = numbered.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, row long, fp long, n long, {', '.join(f'{p} long' for p in PARITIES)}, keys array<long>"
+    schema = f"doc_id {kind}, row long, fp long, n long, {', '.join(f'{p} long' for p in PARITIES)}, wide array<long>, keys array<long>"
     return stored(numbered.select("doc_id", "row", "text").mapInArrow(run, schema), "sets")
 
 
@@ -231,13 +243,55 @@ def may_link(num: int, den: int) -> Column:
     similarity of ``(x + y - d) / (x + y + d)``.
     """
     differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES), F.lit(0).cast("long"))
-    both = F.col("a_n") + F.col("b_n")
     sizes = F.least("a_n", "b_n") * den >= F.greatest("a_n", "b_n") * num
-    return sizes & (den * (both - differ) >= num * (both + differ))
+    return sizes & _near_enough(differ, num, den)
+
+
+def _near_enough(differ: Column, num: int, den: int) -> Column:
+    both = F.col("a_n") + F.col("b_n")
+    return den * (both - differ) >= num * (both + differ)
+
+
+def may_link_long(num: int, den: int) -> Column:
+    """The same by the parities of long sets, the wider one folded to the other's width; true without them."""
+
+    def folded(x: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+
+    a, b = F.col("a_wide"), F.col("b_wide")
+    narrow_a = F.when(F.size(a) > F.size(b), folded(a)).otherwise(a)
+    narrow_b = F.when(F.size(b) > F.size(a), folded(b)).otherwise(b)
+    each = F.zip_with(narrow_a, narrow_b, lambda u, v: F.bit_count(u.bitwiseXOR(v)).cast("long"))
+    differ = F.aggregate(each, F.lit(0).cast("long"), lambda total, x: total + x)
+    return (F.size(a) == 0) | (F.size(b) == 0) | _near_enough(differ, num, den)
+
 
+def _side(nodes: DataFrame, side: str, columns: tuple[str, ...]) -> DataFrame:
+    return nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in columns])
 
-def _side(nodes: DataFrame, side: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    return nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("fp", "n", *PARITIES, *extra)])
+
+def bounded(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes that sizes and parities allow to link."""
+    columns = ("fp", "n", *PARITIES, "wide")
+    a, b = _side(nodes, "a", columns), _side(nodes, "b", columns)
+    met = pairs.join(a, F.col("a") == F.col("a_fp")).join(b, F.col("b") == F.col("b_fp"))
+    return met.where(may_link(num, den) & may_link_long(num, den)).select("a", "b")
+
+
+def texts_at(numbered: DataFrame, places: DataFrame) -> DataFrame:
+    """``places``, which has a ``first_row``, with the text of that row.
+
+    Only rows whose hash falls on a bit set by a wanted row are shuffled. The
+    bits are a table of ``FILTER_BITS / 64`` rows at most; where more rows are
+    wanted than it can tell apart, more texts are shuffled and the result is the same.
+    """
+    bit = lambda row: F.pmod(F.xxhash64(row), F.lit(FILTER_BITS))
+    word, flag = F.shiftright("bit", 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(64)).cast("int"))
+    bits = places.select(bit("first_row").alias("bit")).groupBy(word.alias("word")).agg(F.bit_or(flag).alias("flags"))
+    marked = numbered.select("row", "text", bit("row").alias("bit")).join(F.broadcast(bits), word == F.col("word"))
+    wanted = marked.where(F.col("flags").bitwiseAND(flag) != 0).select("row", "text")
+    return wanted.join(places, F.col("row") == F.col("first_row")).drop("row", "first_row")
 
 
 def linked_pairs(pairs: DataFrame, numbered: DataFrame, nodes: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -251,8 +305,8 @@ def linked_pairs(pairs: DataFrame, numbered: DataFrame, nodes: DataFrame, width:
     dealt = pairs.join(blocks, F.col("a") == F.col("of")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
     asked = dealt.select("a", "block", F.col("b").alias("node")).unionByName(dealt.select("a", "block", F.col("a").alias("node")).distinct())
     places = stored(asked.join(nodes.select("fp", "first_row"), F.col("node") == F.col("fp")).select("a", "block", "node", "first_row"), "asked")
-    texts = numbered.select("row", "text").join(places, F.col("row") == F.col("first_row")).select("a", "block", "node", "text")
-    groups = texts.withColumn("other", F.col("node") != F.col("a")).repartition("a", "block").sortWithinPartitions("a", "block", "other")
+    texts = texts_at(numbered, places).withColumn("other", F.col("node") != F.col("a"))
+    groups = texts.repartition("a", "block").sortWithinPartitions("a", "block", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tokens = None, np.zeros(0, np.uint64)
@@ -275,49 +329,69 @@ def linked_pairs(pairs: DataFrame, numbered: DataFrame, nodes: DataFrame, width:
     return stored(groups.mapInArrow(run, "a long, b long"), "linked")
 
 
-def _apart(shared: DataFrame, roots: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that meet in a key, lie in different components, and may link."""
-    named = shared.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "leader", F.coalesce("root", "fp").alias("root"))
-    mixed = named.groupBy(F.col("key").alias("of")).agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("rows"))
-    crowds = mixed.where("least <> most").select("of", F.ceil(F.col("rows") / CROWDED).cast("int").alias("blocks"))
-    # The leader has been compared with all others.
-    left = named.where("fp <> leader").join(crowds, F.col("key") == F.col("of")).select("key", "fp", "root", "blocks")
-    own = left.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+def _mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, fp, root`` of the keys in which different components still meet."""
+    named = shared.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    ends = named.groupBy(F.col("key").alias("of")).agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    return stored(named.join(ends.where("least <> most").select("of"), F.col("key") == F.col("of"), "left_semi"), "mixed")
+
+
+def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of one node of each key, another one in each key and turn, with those of other components."""
+    pick = F.struct(F.xxhash64("fp", "key", F.lit(turn)), "fp", "root")
+    leaders = mixed.groupBy(F.col("key").alias("of")).agg(F.min(pick).alias("leader"))
+    met = mixed.join(leaders, F.col("key") == F.col("of")).where(F.col("root") != F.col("leader.root"))
+    return met.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
+
+
+def _rest_pairs(mixed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of different components that meet in a key and may link."""
+    crowds = mixed.groupBy(F.col("key").alias("of")).agg(F.ceil(F.count(F.lit(1)) / CROWDED).cast("int").alias("blocks"))
+    own = mixed.join(crowds, F.col("key") == F.col("of")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # Every pair of blocks is a group of its own; a pair within one block meets in that block's own group.
     paired = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "fp", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    rows = stored(paired.join(nodes.drop("first_row", "least"), "fp"), "apart")
-    at = ("key", "i", "j", "own", "root")
-    a, b = _side(rows, "a", at), _side(rows, "b", at)
+    rows = stored(paired.join(nodes.select("fp", "n", *PARITIES), "fp"), "apart")
+    columns = ("fp", "n", *PARITIES, "key", "i", "j", "own", "root")
     same_group = (F.col("a_key") == F.col("b_key")) & (F.col("a_i") == F.col("b_i")) & (F.col("a_j") == F.col("b_j"))
     once = (F.col("a_fp") < F.col("b_fp")) & ((F.col("a_i") == F.col("a_j")) | (F.col("a_own") != F.col("b_own")))
-    met = a.join(b, same_group & once & (F.col("a_root") != F.col("b_root")) & may_link(num, den))
+    near = once & (F.col("a_root") != F.col("b_root")) & may_link(num, den)
+    met = _side(rows, "a", columns).join(_side(rows, "b", columns), same_group & near)
     return met.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b")).distinct()
 
 
 def node_roots(sets: DataFrame, numbered: DataFrame, nodes: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``node, root`` of every node that links with another."""
     keyed = sets.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp")
-    ends = keyed.groupBy(F.col("key").alias("of")).agg(F.min("fp").alias("leader"), F.max("fp").alias("most"))
-    met = keyed.join(ends.where("leader <> most").select("of", "leader"), F.col("key") == F.col("of"))
-    shared = stored(met.select("key", "fp", "leader").distinct(), "shared")
-    stars = shared.where("fp <> leader").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()
-    bounded = stars.join(_side(nodes, "a"), F.col("a") == F.col("a_fp")).join(_side(nodes, "b"), F.col("b") == F.col("b_fp"))
-    first = linked_pairs(stored(bounded.where(may_link(num, den)).select("a", "b"), "stars"), numbered, nodes, width, num, den)
-    roots = stored(connected_components(first), "roots")
-    rest = stored(_apart(shared, roots, nodes, num, den), "rest")
-    if rest.isEmpty():
-        return roots
-    second = linked_pairs(rest, numbered, nodes, width, num, den)
-    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second))
+    ends = keyed.groupBy(F.col("key").alias("of")).agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
+    met = keyed.join(ends.where("least <> most").select("of"), F.col("key") == F.col("of"), "left_semi")
+    shared = stored(met.distinct(), "shared")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return linked_pairs(stored(bounded(pairs, nodes, num, den), "pairs"), numbered, nodes, width, num, den)
+
+    def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+        both = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+        return stored(connected_components(both), "roots")
+
+    mixed = shared.withColumn("root", F.col("fp"))
+    roots = sets.sparkSession.createDataFrame([], "node long, root long")
+    for turn in range(TURNS):
+        links = verified(_star_pairs(mixed, turn))
+        if links.isEmpty():
+            break
+        roots = joined(roots, links)
+        mixed = _mixed_keys(shared, roots)
+    rest = verified(_rest_pairs(mixed, nodes, num, den))
+    return roots if rest.isEmpty() else joined(roots, rest)
 
 
 def components(docs: DataFrame, width: int = WIDTH, num: int = SIMILARITY[0], den: int = SIMILARITY[1]) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     numbered = with_row_numbers(docs)
     sets = with_keys(numbered, width, num, den)
-    alike = [F.first(c).alias(c) for c in ("n", *PARITIES)]
+    alike = [F.first(c).alias(c) for c in ("n", *PARITIES, "wide")]
     nodes = sets.where("n > 0").groupBy("fp").agg(*alike, F.min("row").alias("first_row"), F.min("doc_id").alias("least"))
     nodes = stored(nodes, "nodes")
     roots = node_roots(sets, numbered, nodes, width, num, den)

@@ -48,7 +48,7 @@ def _near_copies(seed, groups=25, each=6):
 
 ODD_ROWS = [
     (None, None), (9000, ""), (9001, " \t\n"), (9002, "two words"), (9003, "TWO\x0bwords"), (9004, "ÀB cd Éf"), (9005, "àb cd éf"),
-    (9006, LONG), (9007, LONG + " one more"), (9008, "a b c d"), (9008, "a b c d"), (None, "a b c d"), (None, "only nulls here at last"),
+    (9006, LONG), (9007, LONG + " one more"), (9010, prose(7, 1020)), (9011, prose(7, 1020) + prose(8, 60)), (9012, prose(7, 1020) + prose(9, 400)), (9008, "a b c d"), (9008, "a b c d"), (None, "a b c d"), (None, "only nulls here at last"),
 ]
 
 
@@ -102,5 +102,8 @@ def test_parities_bound_the_difference():
     for _ in range(200):
         a = np.unique(r.integers(0, 2**64, int(r.integers(0, 900)), np.uint64))
         b = np.unique(np.concatenate([a[int(r.integers(0, 50)) :], r.integers(0, 2**64, int(r.integers(0, 50)), np.uint64)]))
-        bits = np.bitwise_count((ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64)).sum()
-        assert bits <= len(np.setxor1d(a, b))
+        for width in (512, 1024):
+            bits = np.bitwise_count((ngram_join.parities(a, width) ^ ngram_join.parities(b, width)).view(np.uint64)).sum()
+            assert bits <= len(np.setxor1d(a, b))
+        low, high = np.split(ngram_join.parities(a, 1024), 2)
+        assert (low ^ high == ngram_join.parities(a, 512)).all()
