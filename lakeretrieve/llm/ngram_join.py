@@ -21,8 +21,8 @@ them, shared by tokens of equal remainder. Any order and classes are exact, so
 shared counters change the work and never the result.
 
 Equal sets are one node. In a few turns, one node of each key is compared with the
-key's nodes of other components; each key has its own, so a group of near copies
-is linked by many stars. Then the nodes that still meet other components are
+key's nodes of other components; keys differ in it, so a group of near copies
+is linked by several stars. Then the nodes that still meet other components are
 all compared, in blocks where a key is crowded. Parities of the tokens bound how far two sets
 differ, so nodes that share a passage only make no rows. Texts are fetched for the
 pairs left, and the whole sets are compared. Texts meet in groups of one node
@@ -65,6 +65,8 @@ CROWDED = 4096
 FILTER_BITS = 1 << 24
 # Turns of stars before all remaining pairs are compared; more of them leave fewer pairs.
 TURNS = 2
+# Nodes that lead the keys of one group of near copies.
+LEADERS = 8
 PARITIES = [f"p{i}" for i in range(4)]
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -337,8 +339,11 @@ def _mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
-    """Pairs of one node of each key, another one in each key and turn, with those of other components."""
-    pick = F.struct(F.xxhash64("fp", "key", F.lit(turn)), "fp", "root")
+    """Pairs of one node of each key with its nodes of other components.
+
+    Keys with the same nodes have one of ``LEADERS`` leaders, others in each turn.
+    """
+    pick = F.struct(F.xxhash64("fp", F.pmod("key", F.lit(LEADERS)), F.lit(turn)), "fp", "root")
     leaders = mixed.groupBy(F.col("key").alias("of")).agg(F.min(pick).alias("leader"))
     met = mixed.join(leaders, F.col("key") == F.col("of")).where(F.col("root") != F.col("leader.root"))
     return met.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
