@@ -341,9 +341,11 @@ def _mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
 def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
     """Pairs of one node of each key with its nodes of other components.
 
-    Keys with the same nodes have one of ``LEADERS`` leaders, others in each turn.
+    Keys with the same nodes have one of ``LEADERS`` leaders in the first turn; later, when
+    most nodes have found their component, each key has one of its own.
     """
-    pick = F.struct(F.xxhash64("fp", F.pmod("key", F.lit(LEADERS)), F.lit(turn)), "fp", "root")
+    of = F.pmod("key", F.lit(LEADERS)) if turn == 0 else F.col("key")
+    pick = F.struct(F.xxhash64("fp", of, F.lit(turn)), "fp", "root")
     leaders = mixed.groupBy(F.col("key").alias("of")).agg(F.min(pick).alias("leader"))
     met = mixed.join(leaders, F.col("key") == F.col("of")).where(F.col("root") != F.col("leader.root"))
     return met.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
