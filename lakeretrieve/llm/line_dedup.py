@@ -37,8 +37,8 @@ MIN_CHARS = 20
 # Lines of one document that an order number has room for.
 ROOM = 2**31
 UNNAMED = 2**62
-# Characters whose counts are compared before two texts are.
-COUNTED = "etaoinshrdlcumwfgypbvkj0123456789 .,"
+# Characters whose counts are compared before two texts are; each costs a pass over every line.
+COUNTED = "etaoinsrhl"
 
 
 def _document(text: Column) -> Column:

@@ -25,7 +25,7 @@ from decimal import ROUND_DOWN, Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeretrieve.llm.common import stored, whole, with_row_key, words
+from lakeretrieve.llm.common import stored, unused, whole, with_row_key, words
 from lakeretrieve.llm.registry import QUERIES, table
 from lakeretrieve.plans.topk import with_positions
 
@@ -120,13 +120,15 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     without texts, and the texts meet their copies in one join on that number,
     which no row shares.
     """
-    numbered = with_row_key(docs, "__row")
-    sized = stored(numbered.select("__row", "source", size_of("text").alias("size")), "sizes")
-    taken = copies(sized, "__row", seed).where("copies > 0").select(F.col("__row").alias("__taken"), "copies")
-    repeated = numbered.join(taken, F.col("__row") == F.col("__taken")).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    key = unused("__row", docs)
+    numbered = with_row_key(docs, key)
+    sized = stored(numbered.select(F.col(key).alias("__row"), "source", size_of("text").alias("size")), "sizes")
+    of, times = unused("__of", numbered), unused("__times", numbered)
+    taken = copies(sized, "__row", seed).where("copies > 0").select(F.col("__row").alias(of), F.col("copies").alias(times))
+    repeated = numbered.join(taken, F.col(key) == F.col(of)).withColumn(
+        unused("__copy", numbered), F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))
     )
-    return repeated.select(*[numbered[c] for c in docs.columns])
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

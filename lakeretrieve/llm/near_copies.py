@@ -1,14 +1,7 @@
-"""Near copies: texts whose sets of word shingles have a Jaccard similarity of 0.8 or more.
+"""Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Every such pair is found. Of two sets that similar, in any one order of all
-shingles, the first fifth (``n - ceil(0.8 n) + 1`` shingles) of each has a
-shingle in common, so sets meet on these only. The order puts shingles
-that are frequent in a sample last; the sample changes the work, never the result.
-
-Equal sets are one node. In a first round each node is compared with the
-smallest node it meets, which links large groups of copies by stars; in a second one the
-nodes that meet and are not in one component yet are compared. Both compare the
-whole sets. Shingles are 64-bit hashes, as in :mod:`simhash`.
+SimHash fingerprints at three bits miss almost all pairs of that similarity, so
+the pairs come from the Jaccard join of :mod:`ngram_join`, which finds every one.
 
 Defined cases: a null text counts as empty; texts without words are copies of each
 other. A text of fewer words than a shingle is one shingle. Rows with equal ids are separate rows.
@@ -16,121 +9,6 @@ other. A text of fewer words than a shingle is one shingle. Rows with equal ids
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame, functions as F
-
-from lakeretrieve.llm.common import stored, with_row_key
-from lakeretrieve.llm.components import connected_components
-from lakeretrieve.llm.simhash import shingles
-
-WIDTH = 5
-# Texts whose shingles are counted for the order, and the most frequent shingles that are put last.
-SAMPLE = 20_000
-FREQUENT = 100_000
-
-
-def shingle_set(text: bytes | None, width: int) -> np.ndarray:
-    return np.unique(shingles(text, width)).view(np.int64)
-
-
-def frequent_shingles(numbered: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of more than one text of a sample, sorted, and their counts."""
-    rate = min(1.0, SAMPLE / max(1, numbered.count()))
-    within = F.pmod(F.xxhash64("__row"), F.lit(1_000_000)) < int(rate * 1_000_000)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for text in rows["text"]:
-                yield pd.DataFrame({"shingle": shingle_set(text, width)})
-
-    each = numbered.where(within).select(F.col("text").cast("binary").alias("text")).mapInPandas(run, "shingle long")
-    counts = each.groupBy("shingle").count().where("count > 1").orderBy(F.desc("count"), "shingle").limit(FREQUENT).toPandas().sort_values("shingle")
-    return counts["shingle"].to_numpy(np.int64), counts["count"].to_numpy(np.int64)
-
-
-def with_sets(numbered: DataFrame, width: int) -> DataFrame:
-    """``doc_id, __row, fp, n, firsts``: a hash of the set, its size, and the shingles on which it meets others."""
-    frequent, counts = frequent_shingles(numbered, width)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for rows in batches:
-            prints, sizes, firsts = [], [], []
-            for text in rows["text"]:
-                found = shingle_set(text, width)
-                fp = xxhash.xxh64_intdigest(found.tobytes()) - 2**63
-                n = len(found)
-                if fp in seen or not n:  # an equal set of this task brings the shingles
-                    firsts.append([])
-                else:
-                    rank = np.zeros(n, np.int64)
-                    if len(frequent):
-                        at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
-                        rank = np.where(frequent[at] == found, counts[at], 0)
-                    firsts.append(found[np.lexsort((found, rank))[: n - -(-4 * n // 5) + 1]])
-                seen.add(fp)
-                prints.append(fp)
-                sizes.append(n)
-            yield rows[["doc_id", "__row"]].assign(fp=np.array(prints, np.int64), n=np.array(sizes, np.int64), firsts=firsts)
-
-    kind = numbered.schema["doc_id"].dataType.simpleString()
-    texts = numbered.select("doc_id", "__row", F.col("text").cast("binary").alias("text"))
-    return stored(texts.mapInPandas(run, f"doc_id {kind}, __row long, fp long, n long, firsts array<long>"), "sets")
-
-
-def _meeting(rows: DataFrame, column: str) -> DataFrame:
-    """The rows whose ``key`` occurs with different values of ``column``."""
-    ends = rows.groupBy(F.col("key").alias("of")).agg(F.min(column).alias("least"), F.max(column).alias("most")).where("least <> most")
-    return rows.join(ends.select("of"), F.col("key") == F.col("of"), "left_semi")
-
-
-def _similar(pairs: DataFrame, numbered: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose whole sets have a similarity of 0.8 or more."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = stored(wanted.join(nodes, F.col("node") == F.col("fp")).select("node", F.col("first_row").alias("at")), "wanted")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for held in batches:
-            yield pd.DataFrame({"node": held["node"], "items": [shingle_set(t, width) for t in held["text"]]})
-
-    texts = numbered.join(rows, F.col("__row") == F.col("at")).select("node", F.col("text").cast("binary").alias("text"))
-    sets = stored(texts.mapInPandas(run, "node long, items array<long>"), "compared")
-    side = lambda s: sets.select(F.col("node").alias(f"{s}_node"), F.col("items").alias(f"{s}_items"))
-    both = pairs.join(side("a"), F.col("a") == F.col("a_node")).join(side("b"), F.col("b") == F.col("b_node"))
-    common = F.size(F.array_intersect("a_items", "b_items"))
-    return both.where(9 * common >= 4 * (F.size("a_items") + F.size("b_items"))).select("a", "b")
-
-
-def similar_links(sets: DataFrame, numbered: DataFrame, width: int) -> DataFrame:
-    """Links ``a, b`` that join the same nodes as all pairs of a similarity of 0.8 or more would."""
-    nodes = stored(sets.groupBy("fp").agg(F.min("__row").alias("first_row")), "nodes")
-    rows = sets.select(F.explode("firsts").alias("key"), "fp", "n")
-    shared = stored(_meeting(rows, "fp").distinct(), "shared")
-
-    leader = shared.groupBy(F.col("key").alias("of")).agg(F.min(F.struct("fp", "n")).alias("leader"))
-    stars = shared.join(leader, F.col("key") == F.col("of")).where(F.col("fp") != F.col("leader.fp"))
-    sized = lambda x, y: (5 * F.least(x, y)) >= (4 * F.greatest(x, y))
-    stars = stars.where(sized(F.col("n"), F.col("leader.n"))).select(F.col("leader.fp").alias("a"), F.col("fp").alias("b")).distinct()
-    linked = stored(_similar(stored(stars, "stars"), numbered, nodes, width), "star_links")
-
-    roots = connected_components(linked)
-    named = shared.join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", F.coalesce("root", "fp").alias("root"))
-    apart = stored(_meeting(stored(named, "named"), "root"), "apart")
-    side = lambda s: apart.select(*[F.col(c).alias(f"{s}_{c}") for c in apart.columns])
-    within = (F.col("a_key") == F.col("b_key")) & (F.col("a_fp") < F.col("b_fp")) & (F.col("a_root") != F.col("b_root"))
-    rest = side("a").join(side("b"), within & sized(F.col("a_n"), F.col("b_n"))).select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
-    return linked.unionByName(_similar(stored(rest.distinct(), "rest"), numbered, nodes, width))
-
+from lakeretrieve.llm.ngram_join import keep_one
 
-def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One row of each component of near copies: that of the smallest id, null ids last, of equal ids the first stored."""
-    numbered = with_row_key(docs, "__row")
-    sets = with_sets(numbered, width)
-    roots = connected_components(similar_links(sets, numbered, width))
-    named = sets.join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "__row", F.coalesce("root", "fp").alias("root"))
-    kept = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__kept"))
-    return numbered.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+__all__ = ["keep_one"]

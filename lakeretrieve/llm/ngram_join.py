@@ -46,7 +46,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xxhash import xxh64_intdigest
 
-from lakeretrieve.llm.common import stored, with_row_key
+from lakeretrieve.llm.common import rows_kept, stored, unused, with_row_key
 from lakeretrieve.llm.components import connected_components
 from lakeretrieve.llm.registry import QUERIES, table
 
@@ -63,6 +63,7 @@ BLOCK = 256
 CROWDED = 4096
 # Bits that tell the rows whose texts are fetched, as a table of an eighth of so many bytes.
 FILTER_BITS = 1 << 24
+ROW = "__row"
 # Turns of stars before all remaining pairs are compared; more of them leave fewer pairs.
 TURNS = 2
 # Nodes that lead the keys of one group of near copies.
@@ -195,18 +196,21 @@ def wide_parities(tokens: np.ndarray) -> np.ndarray:
     return parities(tokens, 1 << (n - 1).bit_length()) if n > 64 * len(PARITIES) else np.zeros(0, np.int64)
 
 
-def with_row_numbers(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, row``: ``row`` tells rows apart and stays the same when the table is read again.
+def with_row_numbers(docs: DataFrame, key: str = "row") -> DataFrame:
+    """The rows with a number that tells them apart and stays the same when the table is read again.
 
     Files know the place of each row; other tables are stored with numbers.
     """
     if "_metadata" not in docs.columns:
         try:
-            place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-            return docs.select("doc_id", F.col("text").cast("binary").alias("text"), place.alias("row"))
+            return docs.select("*", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(key))
         except AnalysisException:
             pass
-    return with_row_key(docs.select("doc_id", F.col("text").cast("binary").alias("text")), "row")
+    return with_row_key(docs, key)
+
+
+def _texts(docs: DataFrame, key: str) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.col(key).alias("row"))
 
 
 def with_keys(numbered: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -394,21 +398,44 @@ def node_roots(sets: DataFrame, numbered: DataFrame, nodes: DataFrame, width: in
     return roots if rest.isEmpty() else joined(roots, rest)
 
 
-def components(docs: DataFrame, width: int = WIDTH, num: int = SIMILARITY[0], den: int = SIMILARITY[1]) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
-    numbered = with_row_numbers(docs)
-    sets = with_keys(numbered, width, num, den)
+def rooted(texts: DataFrame, width: int = WIDTH, num: int = SIMILARITY[0], den: int = SIMILARITY[1]) -> tuple[DataFrame, DataFrame]:
+    """The sets of rows of ``doc_id, text, row``, and ``fp, least, root`` of each node."""
+    sets = with_keys(texts, width, num, den)
     alike = [F.first(c).alias(c) for c in ("n", *PARITIES, "wide")]
     nodes = sets.where("n > 0").groupBy("fp").agg(*alike, F.min("row").alias("first_row"), F.min("doc_id").alias("least"))
     nodes = stored(nodes, "nodes")
-    roots = node_roots(sets, numbered, nodes, width, num, den)
+    roots = node_roots(sets, texts, nodes, width, num, den)
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return sets, named
+
+
+def components(docs: DataFrame, width: int = WIDTH, num: int = SIMILARITY[0], den: int = SIMILARITY[1]) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    own = docs if "_metadata" not in docs.columns else docs.drop("_metadata")
+    texts = _texts(with_row_numbers(own.select("doc_id", "text"), ROW), ROW)
+    sets, named = rooted(texts, width, num, den)
     smallest = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
     member = named.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("node"), "component_id")
     placed = sets.where("n > 0").join(member, F.col("fp") == F.col("node")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return placed.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each component, with its own columns: that of the smallest id, null ids last, of equal ids any one.
+
+    Texts without words are copies of each other here.
+    """
+    key = unused(ROW, docs)
+    numbered = with_row_numbers(docs, key)
+    sets, named = rooted(_texts(numbered, key), width, num, den)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    # Equal sets come down to one row before they meet their component.
+    by_node = sets.groupBy(F.col("fp").alias("node"), (F.col("n") > 0).alias("full")).agg(first)
+    met = by_node.join(named, F.col("node") == F.col("fp"), "left")
+    kept = met.groupBy(F.coalesce("root", F.lit(0)), "full").agg(F.min("first").alias("first")).select("first.row")
+    return rows_kept(numbered, key, stored(kept, "kept"), docs.columns)
+
+
 def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components(table(spark, sf_dir, "documents"))
 

@@ -12,8 +12,8 @@ from public_tokenizers import path as vocabulary_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakeretrieve.llm import licenses, line_dedup, mixing, packing, quality_rules, secrets, simhash, site_quality, syncmers, token_store, tokens
-from lakeretrieve.llm.registry import ORACLES, QUERIES
+from lakeretrieve.llm import importance, licenses, line_dedup, mixing, near_copies, packing, quality_rules, secrets, simhash, site_quality, syncmers, token_store, tokens
+from lakeretrieve.llm.queries import ORACLES, QUERIES
 from tests.oracle import _plain, connection
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -38,6 +38,10 @@ ROWS = [
 ]
 
 
+def importance_kept(docs):
+    return importance.drawn(docs, docs, percent=50)
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return spark.createDataFrame(ROWS, DOCS)
@@ -307,3 +311,14 @@ def test_rules_are_learned(spark):
     kept = {r["doc_id"] for r in quality_rules.judged(docs, labels).where("kept").collect()}
     assert kept == {i for i in range(300) if i % 5}
     assert {r["doc_id"] for r in quality_rules.keep_good(docs, labels).collect()} == kept
+
+
+@pytest.mark.parametrize("stage", [mixing.mix, near_copies.keep_one, importance_kept], ids=["mix", "keep_one", "drawn"])
+def test_stages_with_clashing_columns(docs, stage):
+    names = ["copies", "__taken", "__row", "__copy", "__times", "__of", "__kept", "node", "at", "root", "row", "key", "first", "position", "size", "plan_source"]
+    clashing = docs.select("*", *[F.lit("x").alias(n) for n in names])
+    got = stage(clashing)
+    assert got.columns == clashing.columns
+    own = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=str)
+    assert own(got) == own(stage(docs))
+    assert {r["node"] for r in got.collect()} <= {"x"}
