@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 EMPTY_JSON = "{}"
 
@@ -78,3 +78,38 @@ def promote_keys(metadata: Column, keys: dict[str, str]) -> list[Column]:
         F.try_variant_get(parsed, json_path(key), sql_type).alias(f"meta_{key}")
         for key, sql_type in keys.items()
     ]
+
+
+def promoted_filter(df: DataFrame, conditions: dict) -> Column:
+    """The tests of :func:`metadata_filter` on the promoted columns of ``df``.
+
+    Tests compare a column with constants of its own type, so they reach the
+    scan's row groups. A key without a promoted column is an error.
+    """
+    predicate = F.lit(True)
+    for key, value in conditions.items():
+        name = f"meta_{key}"
+        if name not in df.columns:
+            raise ValueError(f"metadata key {key!r} is not promoted in this index")
+        column, kind = F.col(f"`{name}`"), df.schema[name].dataType
+        whole = isinstance(kind, T.IntegralType)
+        if isinstance(value, bool):
+            test = column == F.lit(value) if isinstance(kind, T.BooleanType) else F.lit(False)
+        elif isinstance(value, (int, float)):
+            if isinstance(kind, T.StringType):
+                test = column.try_cast("double") == float(value)
+            else:
+                test = F.lit(False) if whole and value != int(value) else column == F.lit(int(value) if whole else float(value))
+        elif isinstance(value, (str, list, tuple, set, frozenset)):
+            texts = [value] if isinstance(value, str) else [str(v) for v in value]
+            if whole:
+                # Only the plain spelling of a number is the text of one.
+                test = column.isin([n for t in texts for n in [int(t) if t.lstrip("-").isdecimal() else None] if n is not None and str(n) == t])
+            elif isinstance(kind, T.StringType):
+                test = column.isin(texts) if len(texts) != 1 else column == texts[0]
+            else:
+                test = column.cast("string").isin(texts)
+        else:
+            continue
+        predicate = predicate & test
+    return predicate

@@ -118,14 +118,18 @@ def mmr_batch(
     metric: str = "cosine",
     *,
     conditions: dict | None = None,
+    hits: DataFrame | None = None,
     **layout,
 ) -> DataFrame:
     """``(qid, rank, id, distance)``: k diverse rows out of the fetch_k nearest.
 
+    ``hits`` are the fetch_k nearest rows if they were found elsewhere, such as in an index.
+
     A group holds one query's candidates, so it never exceeds ``fetch_k`` rows.
     Similarities are compared at 12 decimals; ties go to the nearer candidate.
     """
-    hits = knn_batch(corpus, queries, fetch_k, metric, conditions=conditions, **layout)
+    if hits is None:
+        hits = knn_batch(corpus, queries, fetch_k, metric, conditions=conditions, **layout)
     candidates = with_payload(hits, corpus, queries.count() * fetch_k, ["embedding"])
     bundles = (
         candidates.groupBy("qid")

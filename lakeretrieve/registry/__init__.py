@@ -14,15 +14,6 @@ from lakeretrieve.registry import (  # noqa: F401  (imported for their entries)
     sqlsurface,
     streams,
     vectors,
-    blobs,
-    chat,
-    fulltext,
-    hybrid,
-    keyed,
-    rag,
-    sqlsurface,
-    streams,
-    vectors,
 )
 
 __all__ = ["ORACLES", "QUERIES", "Tables"]

@@ -9,7 +9,7 @@ from lakeretrieve.functions import vectors as V
 from lakeretrieve.functions.metadata import promote_keys
 from lakeretrieve.functions.sqlfuncs import register
 from lakeretrieve.operators import vector as op
-from lakeretrieve.plans import cells
+from lakeretrieve.plans import cells, proven
 from lakeretrieve.registry.base import CORPUS_SQL, VECTORS_SQL, Tables, query, r6
 from lakeretrieve.session import scratch_path
 
@@ -383,3 +383,56 @@ def promote(t: Tables):
     path = scratch_path(t.spark, "promoted")
     t.corpus.select("id", *promote_keys(F.col("metadata"), {"lang": "string", "label": "int"})).write.parquet(path)
     return t.spark.read.parquet(path)
+
+
+def _promoted_index(t: Tables, corpus):
+    """An index of rows with promoted metadata, and its centres with radii."""
+    rows = corpus.select("id", "embedding", *promote_keys(F.col("metadata"), {"lang": "string", "label": "int"}))
+    model = cells.train_centres(rows)
+    path = scratch_path(t.spark, "promoted-index")
+    cells.write_index(cells.assign_cells(rows, model), path)
+    index = t.spark.read.parquet(path)
+    return index, proven.with_radii(index, cells.centre_table(t.spark, model))
+
+
+def _condition_sql(where: str, k: int) -> str:
+    return f"""WITH {CORPUS_SQL},
+      d AS (SELECT a.vec_id AS qid, b.id, greatest(0, list_cosine_distance(a.embedding::DOUBLE[], b.embedding)) AS distance
+            FROM embeddings a, corpus b WHERE {where}),
+      r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(distance, 12), id) AS rank FROM d)
+      SELECT qid, rank::INTEGER AS rank, id, round(distance, 6) AS distance FROM r WHERE rank <= {k}"""
+
+
+@query("v23_filtered", _condition_sql("b.lang IN ('fr', 'de') AND b.label = 3", 10))
+def search_filtered(t: Tables):
+    """The ten nearest rows that meet a condition, proven from the cells' radii."""
+    index, centres = _promoted_index(t, t.corpus)
+    found = proven.nearest_proven(index, centres, t.vector_queries, 10, conditions={"lang": ["fr", "de"], "label": 3})
+    return found.select("qid", "rank", "id", r6("distance").alias("distance"))
+
+
+@query("v23_proven", _batch_sql(_COSINE, "1 - distance / 2", 10))
+def search_proven(t: Tables):
+    """No number of probes: each query reads cells until its neighbours are proven."""
+    index, centres = _index(t)
+    found = proven.nearest_proven(index, proven.with_radii(index, centres), t.vector_queries, 10)
+    scored = found.withColumn("score", V.score("cosine", F.col("distance")))
+    return scored.select("qid", "rank", "id", r6("distance").alias("distance"), r6("score").alias("score"))
+
+
+@query("v23_threshold", _batch_sql(_COSINE, "1 - distance / 2", 10, "distance < 0.7"))
+def search_threshold(t: Tables):
+    """A threshold limits the cells that are read."""
+    index, centres = _index(t)
+    found = proven.nearest_proven(index, proven.with_radii(index, centres), t.vector_queries, 10, below=0.7)
+    scored = found.withColumn("score", V.score("cosine", F.col("distance")))
+    return scored.select("qid", "rank", "id", r6("distance").alias("distance"), r6("score").alias("score"))
+
+
+@query("v23_mmr", _MMR_SQL)
+def search_mmr(t: Tables):
+    """Diverse rows out of the twenty nearest of the index."""
+    index, centres = _index(t)
+    hits = proven.nearest_proven(index, proven.with_radii(index, centres), t.vector_queries, 20)
+    picks = op.mmr_batch(t.vectors, t.vector_queries, 4, 20, 0.5, hits=hits)
+    return picks.select("qid", "rank", "id", r6("distance").alias("distance"))

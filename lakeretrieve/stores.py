@@ -10,8 +10,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeretrieve.functions import vectors as V
+from lakeretrieve.functions.metadata import promote_keys, promoted_filter
 from lakeretrieve.operators import blobs, chat, fulltext, hybrid, keyed, sqlsurface, vector
-from lakeretrieve.plans import cells, postings
+from lakeretrieve.plans import cells, postings, proven
 from lakeretrieve.plans.appendlog import AppendTable, batch_numbers
 from lakeretrieve.plans.changelog import ChangeLog
 from lakeretrieve.session import materialise
@@ -68,24 +69,50 @@ class VectorStore:
     def delete(self, ids: DataFrame) -> None:
         self.table.delete(ids)
 
-    def build_index(self, n_cells: int | None = None) -> None:
-        """Index the present rows; an earlier index stays until it is replaced."""
+    def build_index(self, n_cells: int | None = None, promote: dict[str, str] | None = None) -> None:
+        """Index the present rows; an earlier index stays until it is replaced.
+
+        ``promote`` names metadata keys with their SQL types; searches of the index can filter by them.
+        """
         at = self.table.last_batch()
-        corpus = self.corpus().select("id", "embedding")
+        corpus = self._indexed(self.corpus(), promote or {})
         model = cells.train_centres(corpus, n_cells, self.metric)
         cells.write_index(cells.assign_cells(corpus, model), f"{self.path}/cells/at={at}")
-        cells.centre_table(self.spark, model).write.mode("overwrite").parquet(f"{self.path}/centres/at={at}")
+        rows = self.spark.read.parquet(f"{self.path}/cells/at={at}")
+        centres = proven.with_radii(rows, cells.centre_table(self.spark, model), self.metric)
+        centres.write.mode("overwrite").parquet(f"{self.path}/centres/at={at}")
+
+    @staticmethod
+    def _indexed(corpus: DataFrame, promote: dict[str, str]) -> DataFrame:
+        return corpus.select("id", "embedding", *promote_keys(F.col("metadata"), promote))
 
-    def search_index(self, queries: DataFrame, k: int = 4, nprobe: int = 8) -> DataFrame:
-        """Approximate hits on the index, kept whole: rows added since it was
-        built join their nearest cell, deleted rows are left out."""
+    def _index(self) -> tuple[DataFrame, DataFrame]:
+        """The index kept whole, and its centres: rows added since it was built
+        join their nearest cell and may widen it, deleted rows are left out."""
         at = batch_numbers(self.spark, f"{self.path}/centres", "at")[-1]
         centres = self.spark.read.parquet(f"{self.path}/centres/at={at}")
-        index = self.spark.read.parquet(f"{self.path}/cells/at={at}").select("id", "embedding", "cell")
+        index = self.spark.read.parquet(f"{self.path}/cells/at={at}")
         if self.table.last_batch() > at:
-            new = cells.assign_to_centres(self.table.rows_since(at).select("id", "embedding"), centres, self.metric)
-            index = index.join(self.table.gone_since(at), "id", "left_anti").unionByName(new.select(*index.columns))
-        return cells.search_cells(index, centres, self.embed_queries(queries), k, nprobe, self.metric)
+            promoted = {f.name.removeprefix("meta_"): f.dataType.simpleString() for f in index.schema if f.name.startswith("meta_")}
+            new = cells.assign_to_centres(self._indexed(self.table.rows_since(at), promoted), centres, self.metric).select(*index.columns)
+            wider = proven.with_radii(new, centres, self.metric).select(F.col("id").alias("of"), F.col("radius").alias("r"), F.col("rows").alias("more"))
+            centres = centres.join(F.broadcast(wider), F.col("id") == F.col("of")).select(
+                "id", "vector", F.greatest("radius", "r").alias("radius"), (F.col("rows") + F.col("more")).alias("rows")
+            )
+            index = index.join(self.table.gone_since(at), "id", "left_anti").unionByName(new)
+        return index, centres
+
+    def search_index(
+        self, queries: DataFrame, k: int = 4, nprobe: int | None = 8, *, conditions: dict | None = None, below: float | None = None
+    ) -> DataFrame:
+        """Hits on the index: among the ``nprobe`` nearest cells, or with ``nprobe=None``
+        as many cells as prove that no nearer row is left. Conditions are on promoted keys."""
+        index, centres = self._index()
+        asked = self.embed_queries(queries)
+        if nprobe is None:
+            return proven.nearest_proven(index, centres, asked, k, self.metric, conditions=conditions, below=below)
+        kept = index.filter(promoted_filter(index, conditions)) if conditions else index
+        return cells.search_cells(kept, centres.select("id", "vector"), asked, k, nprobe, self.metric, below=below)
 
 
 class FullTextStore:

@@ -193,6 +193,15 @@ def test_vector_store(spark, tmp_path):
     store.add_texts(spark.createDataFrame([("noodle soup",), ("new text",)], "content string"))
     assert store.corpus().count() == 4
     assert {r.id for r in store.search_index(q, 5, 2).collect()} == {r.id for r in store.corpus().collect()}
+    # rows added since widen their cells, so that the proof covers them
+    store.build_index(2, {"category": "string"})
+    store.add_texts(spark.createDataFrame([(f"soup number {i}", '{"category": "food"}') for i in range(30)], "content string, metadata string"))
+    exact = store.similarity_search_with_score(q, 5, {"category": "food"})
+    found = store.search_index(q, 5, None, conditions={"category": "food"})
+    near = lambda df: sorted((r.qid, round(r.distance, 9)) for r in df.collect())
+    assert near(found) == near(exact) and len(near(found)) == 10
+    with pytest.raises(ValueError, match="not promoted"):
+        store.search_index(q, 5, conditions={"author": "x"})
 
 
 def test_full_text_store(spark, tmp_path):
