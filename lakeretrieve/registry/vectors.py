@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from lakeretrieve.functions import vectors as V
 from lakeretrieve.functions.metadata import promote_keys
 from lakeretrieve.functions.sqlfuncs import register
 from lakeretrieve.operators import vector as op
-from lakeretrieve.plans import cells, proven
+from lakeretrieve.plans import cells, proven, quantised
 from lakeretrieve.registry.base import CORPUS_SQL, VECTORS_SQL, Tables, query, r6
 from lakeretrieve.session import scratch_path
 
@@ -436,3 +437,47 @@ def search_mmr(t: Tables):
     hits = proven.nearest_proven(index, proven.with_radii(index, centres), t.vector_queries, 20)
     picks = op.mmr_batch(t.vectors, t.vector_queries, 4, 20, 0.5, hits=hits)
     return picks.select("qid", "rank", "id", r6("distance").alias("distance"))
+
+
+def _quantised(t: Tables):
+    model = quantised.train(t.vectors)
+    path = scratch_path(t.spark, "quantised-index")
+    quantised.write(t.vectors, model, path)
+    return t.spark.read.parquet(path), model
+
+
+@query(
+    "v22_quantised_index",
+    "SELECT vec_id AS id, 16 AS code_bytes, true AS nearer FROM embeddings",
+)
+def quantised_index(t: Tables):
+    """Every row read back: its code, and whether the coded vector is at least as near to the row as the cell's centre."""
+    index, model = _quantised(t)
+    shipped = t.spark.sparkContext.broadcast(model)
+
+    def decoded(batches):
+        for rows in batches:
+            codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
+            numbers = rows["cell"].to_numpy()
+            yield rows[["id", "code", "embedding"]].assign(
+                coded=list(shipped.value.decoded(numbers, codes)), centre=list(shipped.value.centres[numbers])
+            )
+
+    schema = "id long, code binary, embedding array<double>, coded array<double>, centre array<double>"
+    rows = index.withColumn("embedding", F.col("embedding").cast("array<double>")).mapInPandas(decoded, schema)
+    unit = F.transform("embedding", lambda x: x / V.norm(F.col("embedding")))
+    nearer = V.l2_distance(unit, F.col("coded")) <= V.l2_distance(unit, F.col("centre")) + 1e-9
+    return rows.select("id", F.length("code").alias("code_bytes"), nearer.alias("nearer"))
+
+
+@query(
+    "v23_quantised_recall",
+    "SELECT count(*) AS neighbours, true AS nine_of_ten FROM (SELECT 1 FROM embeddings a, range(least(10, (SELECT count(*) FROM embeddings))))",
+)
+def quantised_recall(t: Tables):
+    """Recall at 10 of the quantised search against the exact one, every vector as a query."""
+    index, model = _quantised(t)
+    found = quantised.search(index, model, t.vector_queries, 10, nprobe=32)
+    exact = op.knn_batch(t.vectors, t.vector_queries, 10)
+    hits = exact.select("qid", "id").join(found.select("qid", "id", F.lit(1).alias("hit")), ["qid", "id"], "left")
+    return hits.agg(F.count(F.lit(1)).alias("neighbours"), (F.avg(F.coalesce("hit", F.lit(0))) >= 0.9).alias("nine_of_ten"))
