@@ -8,6 +8,7 @@ from lakeretrieve.functions import text as X
 from lakeretrieve.functions.metadata import clean_metadata, parse_metadata
 from lakeretrieve.functions.sqlfuncs import register
 from lakeretrieve.operators import fulltext as op
+from lakeretrieve.plans import blocks
 from lakeretrieve.plans.postings import build_postings, search_postings, write_postings
 from lakeretrieve.registry.base import (
     DOC_TOKENS_SQL,
@@ -129,6 +130,14 @@ def _register_batch(mode: str, test: str) -> None:
         write_postings(build_postings(t.texts), path, buckets=8, salts=2)
         return search_postings(t.spark.read.parquet(path), t.text_queries, None, mode, buckets=8)
 
+    @query(f"t09_block_search_{mode}", _batch_sql(test, None))
+    def on_blocks(t: Tables):
+        return blocks.search_index(_block_index(t), t.text_queries, None, mode)
+
+
+def _block_index(t: Tables) -> blocks.BlockIndex:
+    return blocks.write_index(t.texts, scratch_path(t.spark, "block-index"))
+
 
 _register_batch("phrase", phrase_sql("tokens", "q"))
 _register_batch("all", all_sql("tokens", "q"))
@@ -151,6 +160,27 @@ def postings(t: Tables):
     return build_postings(t.texts).groupBy("term", "id").agg(n, first, last, F.sum("pos").alias("sum_pos"))
 
 
+@query(
+    "t08_block_postings",
+    _POSTINGS_SQL
+    + """ SELECT term, id, count(*)::INTEGER AS n, min(pos)::INTEGER AS first_pos, max(pos)::INTEGER AS last_pos,
+            sum(pos)::BIGINT AS sum_pos FROM p GROUP BY term, id""",
+)
+def block_postings(t: Tables):
+    """Every block of a stored index, read back and decoded."""
+    n = F.count(F.lit(1)).cast("int").alias("n")
+    first, last = F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
+    return _block_index(t).postings().groupBy("term", "id").agg(n, first, last, F.sum("pos").alias("sum_pos"))
+
+
+@query(
+    "t08_term_statistics",
+    _POSTINGS_SQL + " SELECT term, count(DISTINCT id) AS documents, count(*) AS occurrences FROM p GROUP BY term",
+)
+def term_statistics(t: Tables):
+    return _block_index(t).terms
+
+
 @query(
     "t10_add_and_delete",
     _POSTINGS_SQL
