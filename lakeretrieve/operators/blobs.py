@@ -87,45 +87,107 @@ def put_files(store: DataFrame, files: DataFrame) -> DataFrame:
     return store.join(newest.select(*keys), keys, "left_anti").unionByName(newest)
 
 
-def get_bytes(requests: DataFrame, store: DataFrame) -> DataFrame:
-    """``(ord, key, value)``; missing is null, empty bytes are a value."""
-    return keyed_get(requests, store, ["value"], empty_is_null=False)
+def in_volume(
+    store: DataFrame, volume_type: str = "user", volume_name: str | None = None, subdirectory: str | None = None
+) -> Column:
+    """Whether a row lies at one address; a store without address columns has only one."""
+    check_address(volume_type, volume_name)
+    address = [volume_type, volume_name or "", (subdirectory or "").strip("/")]
+    here = F.lit(True)
+    for column, value in zip(ADDRESS, address):
+        if column in store.columns:
+            here &= F.coalesce(F.col(column), F.lit("")) == value
+    return here
+
+
+def get_bytes(
+    requests: DataFrame,
+    store: DataFrame,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+) -> DataFrame:
+    """``(ord, key, value)`` at one address; missing is null, empty bytes are a value."""
+    rows = store.filter(in_volume(store, volume_type, volume_name, subdirectory))
+    return keyed_get(requests, rows, ["value"], empty_is_null=False)
 
 
-def get_files(requests: DataFrame, store: DataFrame) -> DataFrame:
-    """``(ord, key, value, mime_type)``; an empty file counts as not found."""
-    found = requested_rows(requests, store.filter(F.col("size") > 0)).select(
+def get_files(
+    requests: DataFrame,
+    store: DataFrame,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+) -> DataFrame:
+    """``(ord, key, value, mime_type)`` at one address; an empty file counts as not found."""
+    rows = store.filter((F.col("size") > 0) & in_volume(store, volume_type, volume_name, subdirectory))
+    found = requested_rows(requests, rows).select(
         "key", "value", F.coalesce("mime_type", F.lit(DEFAULT_MIME)).alias("mime_type")
     )
     return requests.select("ord", "key").join(found, "key", "inner").select("ord", "key", "value", "mime_type")
 
 
-def delete_files(store: DataFrame, keys: DataFrame) -> DataFrame:
-    return store.join(keys.select("key"), "key", "left_anti")
+def delete_files(
+    store: DataFrame,
+    keys: DataFrame,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+) -> DataFrame:
+    """Store without the listed keys of one address; other volumes keep theirs."""
+    here = in_volume(store, volume_type, volume_name, subdirectory).alias("__here")
+    gone = keys.select(F.col("key").alias("__gone")).distinct()
+    kept = store.withColumn("__here", here).join(gone, (F.col("key") == F.col("__gone")) & F.col("__here"), "left_anti")
+    return kept.drop("__here")
+
+
+def drop_volume(store: DataFrame, volume_type: str, volume_name: str | None = None) -> DataFrame:
+    """Store without a whole volume, all of its folders included."""
+    check_address(volume_type, volume_name)
+    name = F.coalesce(F.col("volume_name"), F.lit(""))
+    here = F.coalesce((F.col("volume_type") == volume_type) & (name == (volume_name or "")), F.lit(False))
+    return store.filter(~here)
 
 
-def file_keys(store: DataFrame, prefix: str | None = None) -> DataFrame:
-    """Sorted keys with a literal prefix."""
-    rows = store.select("key")
+def file_keys(
+    store: DataFrame,
+    prefix: str | None = None,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+) -> DataFrame:
+    """Sorted keys of one address with a literal prefix."""
+    rows = store.filter(in_volume(store, volume_type, volume_name, subdirectory)).select("key")
     if prefix:
         rows = rows.filter(F.col("key").startswith(prefix))
     return rows.orderBy("key")
 
 
-def list_directory(store: DataFrame, subdirectory: str | None = None) -> DataFrame:
-    """Files below one subdirectory; without one, only those at the root."""
+def list_directory(
+    store: DataFrame, subdirectory: str | None = None, volume_type: str = "user", volume_name: str | None = None
+) -> DataFrame:
+    """Files of a volume below one subdirectory; without one, only those at the root."""
     sub = (subdirectory or "").strip("/")
     path = F.col("file_path")
     inside = path.startswith(sub + "/") if sub else F.instr(path, "/") == 0
+    if "subdirectory" in store.columns:
+        store = store.drop("subdirectory")
+    inside &= in_volume(store, volume_type, volume_name)
     return store.filter(inside).select("file_path", "size").orderBy("file_path")
 
 
-def list_files(store: DataFrame, prefix: str | None = None) -> DataFrame:
-    """``(key, size, mime_type)`` by prefix; the contents are not read.
+def list_files(
+    store: DataFrame,
+    prefix: str | None = None,
+    volume_type: str = "user",
+    volume_name: str | None = None,
+    subdirectory: str | None = None,
+) -> DataFrame:
+    """``(key, size, mime_type)`` of one address by prefix; the contents are not read.
 
     As in :func:`get_files`, an empty file does not count.
     """
-    rows = store.filter(F.col("size") > 0)
+    rows = store.filter((F.col("size") > 0) & in_volume(store, volume_type, volume_name, subdirectory))
     rows = rows.filter(F.col("key").startswith(prefix)) if prefix else rows
     return rows.select(
         "key", "size", F.coalesce("mime_type", F.lit(DEFAULT_MIME)).alias("mime_type")

@@ -222,6 +222,95 @@ def file_store(t: Tables):
     return kept.select("key", F.md5("value").alias("value_md5"), "mime_type")
 
 
+# The same keys in three places: table and named volume, and a folder of the latter.
+_PLACES_SQL = """one AS (SELECT url AS key, arg_max(html, page_id) AS html FROM pages GROUP BY url),
+places AS (
+  SELECT 'table' AS volume_type, 'pages' AS volume_name, '' AS subdirectory, key, html FROM one
+  UNION ALL SELECT 'named', 'mobile', '', key, 'm ' || html FROM one
+  UNION ALL SELECT 'named', 'mobile', 'old', key, 'o ' || html FROM one),
+asked AS (SELECT DISTINCT url AS key FROM pages WHERE contains(html, '***'))"""
+
+
+def _places(t: Tables):
+    last = _raw(t).groupBy("key").agg(F.max_by(F.struct("value", "mime_type"), "ord").alias("f")).select("key", "f.*")
+
+    def marked(mark):
+        return last.withColumn("value", F.concat(F.encode(F.lit(mark), "UTF-8"), F.col("value")))
+
+    store = op.blob_rows(last, "table", "pages").unionByName(op.blob_rows(marked("m "), "named", "mobile"))
+    return store.unionByName(op.blob_rows(marked("o "), "named", "mobile", "/old/"))
+
+
+def _asked(t: Tables):
+    return t.read("pages").filter(F.contains("html", F.lit("***"))).select(F.col("url").alias("key")).distinct()
+
+
+@query(
+    "b05_get_bytes_volume",
+    f"""WITH {_PLACES_SQL} SELECT page_id AS ord, key, md5(places.html) AS value_md5 FROM pages JOIN places ON key = url
+        WHERE volume_type = 'named' AND subdirectory = ''""",
+)
+def get_bytes_volume(t: Tables):
+    requests = t.read("pages").select(F.col("page_id").alias("ord"), F.col("url").alias("key"))
+    return op.get_bytes(requests, _places(t), "named", "mobile").select("ord", "key", F.md5("value").alias("value_md5"))
+
+
+@query(
+    "b06_delete_bytes_volume",
+    f"""WITH {_PLACES_SQL} SELECT volume_type, volume_name, subdirectory, key, md5(html) AS value_md5 FROM places
+        WHERE NOT (volume_type = 'named' AND subdirectory = '' AND key IN (SELECT key FROM asked))""",
+)
+def delete_bytes_volume(t: Tables):
+    kept = op.delete_files(_places(t), _asked(t), "named", "mobile")
+    return kept.select("volume_type", "volume_name", "subdirectory", "key", F.md5("value").alias("value_md5"))
+
+
+@query(
+    "b06_drop_volume",
+    f"WITH {_PLACES_SQL} SELECT volume_type, volume_name, subdirectory, key FROM places WHERE volume_type <> 'named'",
+)
+def drop_volume(t: Tables):
+    return op.drop_volume(_places(t), "named", "mobile").select("volume_type", "volume_name", "subdirectory", "key")
+
+
+@query(
+    "b07_yield_keys_volume",
+    f"""WITH {_PLACES_SQL} SELECT key FROM places
+        WHERE volume_type = 'table' AND starts_with(key, 'https://m.') ORDER BY key""",
+)
+def keys_volume(t: Tables):
+    return op.file_keys(_places(t), "https://m.", "table", "pages")
+
+
+@query(
+    "b08_list_directory_volume",
+    f"""WITH {_PLACES_SQL} SELECT 'old/' || sha256(key) || '.dat' AS file_path, octet_length(encode(html))::BIGINT AS size
+        FROM places WHERE subdirectory = 'old'""",
+)
+def list_directory_volume(t: Tables):
+    return op.list_directory(_places(t), "old", "named", "mobile")
+
+
+@query(
+    "b10_get_files_volume",
+    f"""WITH {_PLACES_SQL} SELECT 0 AS ord, key, md5(html) AS value_md5, 'text/html' AS mime_type FROM places
+        WHERE subdirectory = 'old' AND key IN (SELECT key FROM asked)""",
+)
+def get_files_volume(t: Tables):
+    requests = _asked(t).select(F.lit(0).alias("ord"), "key")
+    found = op.get_files(requests, _places(t), "named", "mobile", "old")
+    return found.select("ord", "key", F.md5("value").alias("value_md5"), "mime_type")
+
+
+@query(
+    "b11_list_files_volume",
+    f"""WITH {_PLACES_SQL} SELECT key, octet_length(encode(html))::BIGINT AS size, 'text/html' AS mime_type
+        FROM places WHERE volume_type = 'named' AND subdirectory = ''""",
+)
+def list_files_volume(t: Tables):
+    return op.list_files(_places(t), None, "named", "mobile")
+
+
 @query("b13_import_directory")
 def import_files(t: Tables):
     """The table files themselves as a directory of binary files."""
