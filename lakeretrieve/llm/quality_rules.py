@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeretrieve.llm.common import NON_SPACE, let, stored, whole, words
 from lakeretrieve.llm.registry import QUERIES, table
+from lakeretrieve.plans.blocks import candidate_filter, filter_bits, may_hold
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATISTICS = [*COUNTS, "n_chars_all", "n_upper", "n_bars", "n_exclaims"]
@@ -296,10 +297,14 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the list keeps, with their own columns.
 
-    The learned list filters the scan and counts each text once there, so no
-    text is shuffled.
+    Learning counts labelled texts only, found by a bit map of the labelled ids
+    that lets a few others through; those meet no label. The learned list then
+    filters the scan and counts each text there. No text is shuffled.
     """
-    counted = stored(with_statistics(docs.select("doc_id", "text")).drop("text"), "statistics")
+    ids = labels.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
+    bits = filter_bits(ids.count())
+    near = may_hold(docs.select("doc_id", "text"), ["doc_id"], candidate_filter(ids, ["doc_id"], bits), bits)
+    counted = stored(with_statistics(near).drop("text"), "statistics")
     rules = learn_rules(counted, labels)
     return docs.where(let(statistics("text"), lambda counts: verdict(rules, lambda name: counts[name])))
 
