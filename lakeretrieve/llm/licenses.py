@@ -8,6 +8,8 @@ license bodies and file headers; a rule is tried only if its keyword is among th
 Detections are taken in order of priority; one that lies within a taken one is
 suppressed. The four base phrases are always reported.
 
+Detections and their word numbers take n log n steps for n detections, so one text may hold any number.
+
 Defined cases: a null text counts as empty. Rows with equal or null ids are
 scanned each by itself. Columns named like an output column are replaced.
 """
@@ -15,10 +17,13 @@ scanned each by itself. Columns named like an output column are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -204,6 +209,69 @@ SENTENCES = [
     ("wtfpl", "fuck", r"do what the fuck you want to"),
     ("cc0", "waived", r"waived all copyright and related or neighbou?ring rights"),
     ("cc", "redistribute", r"copy and redistribute the material in any medium or format"),
+    ("cc", "remix", r"remix transform and build upon the material"),
+    ("cc-by", "credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by-nc", "commercial", r"you may not use the material for commercial purposes"),
+    ("cc-by-sa", "contributions", r"you must distribute your contributions under the same license as the original"),
+    ("cc-by-nd", "remix", r"if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc0", "dedicated", r"(?:has|have) dedicated the work to the public domain by waiving"),
+    ("gpl", "warranty", r"this program comes with absolutely no warranty"),
+    ("gpl", "received", r"you should have received a copy of the gnu general public"),
+    ("lgpl", "received", r"you should have received a copy of the gnu (?:lesser|library) general public"),
+    ("agpl", "received", r"you should have received a copy of the gnu affero general public"),
+    ("gpl", "everyone", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", "freedom", r"the gnu general public license is intended to guarantee your freedom to share and change"),
+    ("gpl", "copyleft", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl", "remotely", r"all users interacting with it remotely through a computer network"),
+    ("lgpl", "combined", r"you may convey a combined work under terms of your choice"),
+    ("gfdl", "invariant", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("apache", "contributor", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable"),
+    ("apache", "prominent", r"you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("bsd", "binary", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "regents", r"this software is provided by the regents and contributors as is"),
+    ("bsd", "holders", r"this software is provided by the copyright holders and contributors as is"),
+    ("bsd-2-clause", "freebsd", r"the views and conclusions contained in the software and documentation are those of the authors(?: [^ ]+){0,12} freebsd project"),
+    ("mit", "noninfringement", r"the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("x11", "consortium", r"the name of the x consortium shall not be used in advertising or otherwise to promote"),
+    ("isc", "disclaims", r"the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("mpl", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "incompatible", r"this source code form is incompatible with secondary licenses"),
+    ("mpl", "mozilla", r"the contents of this file are subject to the mozilla public"),
+    ("epl", "accompanying", r"this program and the accompanying materials are made available under the terms of the eclipse public"),
+    ("epl", "accompanying", r"the accompanying program is provided under the terms of this eclipse public"),
+    ("cpl", "accompanying", r"the accompanying program is provided under the terms of this common public"),
+    ("cddl", "cddl", r"the contents of this file are subject to the terms of the cddl"),
+    ("eupl", "eupl", r"licensed under the eupl"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "commercial", r"permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("libpng", "png", r"the png reference library is supplied as is"),
+    ("boost", "machine", r"unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor"),
+    ("artistic", "artistic", r"this (?:is free software|program is free software) you can redistribute it and or modify it under (?:the terms of )?the artistic"),
+    ("perl", "perl", r"under the same terms as perl(?: itself)?"),
+    ("python", "psf", r"psf is making python available to licensee on an as is basis"),
+    ("python", "psf", r"this license agreement is between the python software foundation psf and the individual or organization"),
+    ("php", "php", r"this product includes php software freely available from"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project"),
+    ("openssl", "cryptographic", r"this product includes cryptographic software written by"),
+    ("postgresql", "california", r"in no event shall the university of california be liable to any party for direct indirect special incidental or consequential damages"),
+    ("ncsa", "neither", r"neither the names of(?: [^ ]+){1,12} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("ofl", "reserved", r"no modified version of the font software may use the reserved font name"),
+    ("ofl", "font", r"this font software is licensed under the sil open font"),
+    ("odbl", "database", r"is made available under the open database license"),
+    ("odc-by", "commons", r"is made available under the open data commons attribution"),
+    ("ms-pl", "contribution", r"each contributor grants you a non exclusive worldwide royalty free copyright license to reproduce its contribution"),
+    ("w3c", "w3c", r"this work is distributed under the w3c software"),
+    ("upl", "lrgrwrks", r"any piece of software and or hardware listed in the lrgrwrks"),
+    ("vim", "vim", r"there are no restrictions on distributing unmodified copies of vim"),
+    ("sleepycat", "accompanied", r"redistributions in any form must be accompanied by information on how to obtain complete source code"),
+    ("llvm", "llvm", r"under the apache license v2 0 with llvm exceptions"),
+    ("busl", "production", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("sspl", "service", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("elastic", "hosted", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("openrail", "derivatives", r"you agree not to use the model or derivatives of the model"),
+    ("proprietary", "confidential", r"(?:this (?:file|document|software) is |proprietary and )confidential(?: and proprietary)?"),
+    ("proprietary", "unauthorized", r"unauthorized copying of this (?:file|software|document) via any medium is strictly prohibited"),
+    ("proprietary", "reproduced", r"no part of this (?:publication|document|work|book) may be reproduced(?: [^ ]+){0,12} without(?: the)? prior written permission"),
 ]
 SENTENCE_PRIORITY, SENTENCE_WEIGHT = 6, 0.9
 
@@ -257,12 +325,35 @@ def _gate() -> frozenset[bytes]:
     return frozenset(_by_keyword()) | {phrase.split()[0].encode() for phrase in BASE}
 
 
+def _outermost(intervals: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends, both ascending, of the intervals that lie in no other one."""
+    starts, ends = [], []
+    for a, b in sorted(intervals, key=lambda i: (i[0], -i[1])):
+        if not ends or b > ends[-1]:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def _unsuppressed(found: list[tuple[Rule, int, int]]) -> list[tuple[Rule, int, int]]:
-    """Detections not contained in one of higher priority, or in a longer or earlier one of the same."""
+    """Detections not contained in one of higher priority, or in a longer or earlier one of the same.
+
+    What lies in a suppressed detection lies in the one that suppressed it, so each is compared
+    with all before it: by search among the outermost intervals of higher priorities, and by the
+    furthest end so far among its own.
+    """
     taken: list[tuple[Rule, int, int]] = []
-    for rule, a, b in sorted(found, key=lambda d: (-d[0].priority, d[1] - d[2], d[1], d[0].name)):
-        if not any(x <= a and b <= y for _, x, y in taken):
-            taken.append((rule, a, b))
+    starts, ends = [], []
+    ordered = sorted(found, key=lambda d: (-d[0].priority, d[1], -d[2], d[0].name))
+    for _, equals in groupby(ordered, key=lambda d: d[0].priority):
+        kept, furthest = [], -1
+        for rule, a, b in equals:
+            over = bisect_right(starts, a) - 1
+            if b > furthest and (over < 0 or ends[over] < b):
+                kept.append((rule, a, b))
+            furthest = max(furthest, b)
+        taken += kept
+        starts, ends = _outermost([*zip(starts, ends), *[(a, b) for _, a, b in kept]])
     return sorted(taken, key=lambda d: (d[1], d[2], d[0].name))
 
 
@@ -274,7 +365,8 @@ def scan(text: bytes | None) -> tuple:
     if not known:
         return len(words), 0, None, None, "", "", 0.0, []
     joined = b" ".join(words)
-    place = lambda at: joined.count(b" ", 0, at)
+    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == ord(" "))
+    place = lambda at: int(np.searchsorted(spaces, at))
     base = [(label, m.start()) for label, expression in _base() for m in expression.finditer(joined)]
     starts = [at for _, at in base]
     tried = [rule for keyword in known & _by_keyword().keys() for rule in _by_keyword()[keyword] if rule.needs in low]
