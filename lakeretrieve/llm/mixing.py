@@ -1,12 +1,17 @@
 """Mixing sources to target weights by systematic sampling.
 
 Every source has a target, a share of all words. Its documents are put in
-order of size, each expects ``target / source size`` copies, and the running
+order of size, the largest first, each expects some copies, and the running
 sum of expected copies, moved by one random offset per source, passes whole
-numbers; a document is taken once for each number passed at it. Ordering by
-size spreads the copies evenly over small and large documents, so the words
-taken from a source differ from its target by about one document. Of a few
-random offsets the one is used whose words come nearest to the target.
+numbers; a document is taken once for each number passed at it.
+
+A document of the ``HEAD`` largest of its source expects what the target still
+lacks over the words still to come, so that a large document taken or left is
+made up by those after it. It is not taken beyond the target where the later ones can fill
+it, and is taken where all of them three times could not: a document larger than its source's
+target is left out if the others suffice. All documents after the head expect
+the same number, so the words taken differ from the target by about one document that is
+smaller than all of the head.
 
 Positions within a source come from a range partition with counts per
 partition, so a source that holds most rows is ordered by many tasks.
@@ -21,18 +26,17 @@ agree. Columns named like an output column are replaced.
 from __future__ import annotations
 
 import random
-from decimal import ROUND_DOWN, Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeretrieve.llm.common import stored, unused, whole, with_row_key, words
+from lakeretrieve.llm.common import let, stored, unused, whole, with_row_key, words
 from lakeretrieve.llm.registry import QUERIES, table
 from lakeretrieve.plans.topk import with_positions
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
-# Digits after the point of expected copies: products with positions stay exact decimals.
-PLACES = Decimal(1).scaleb(-15)
+# Largest documents of a source whose expected copies follow what is still lacking.
+HEAD = 64
 
 
 def size_of(text: str | Column) -> Column:
@@ -63,53 +67,88 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, mo
     return found
 
 
-def _offset(source: str | None, seed: int, draw: int) -> Decimal:
-    return Decimal(random.Random(f"{seed}:{draw}:{source!r}").random()).quantize(PLACES, ROUND_DOWN)
-
-
-def _plan(spark: SparkSession, sized: DataFrame, seed: int, draws: int) -> DataFrame:
-    """One row per source: its size, target, expected copies and offsets to choose from."""
+def _plan(spark: SparkSession, sized: DataFrame, seed: int) -> DataFrame:
+    """One row per source: its size, target and offset."""
     sizes = {r["source"]: r["words"] for r in sized.groupBy("source").agg(F.sum("size").alias("words")).collect()}
     wanted = targets(sizes)
-    rows = []
-    for s, n in sizes.items():
-        # Rounded down, so that no document is taken more than three times.
-        expected = min(Decimal(wanted[s]) / n, Decimal(MOST_COPIES)) if n else Decimal(0)
-        rows.append((s, n, float(wanted[s]), expected.quantize(PLACES, ROUND_DOWN), [_offset(s, seed, d) for d in range(draws)]))
-    schema = (
-        "plan_source string, source_size long, target double, expected decimal(18,15), offsets array<decimal(18,15)>"
+    rows = [(s, n, float(wanted[s]), random.Random(f"{seed}:{s!r}").random()) for s, n in sizes.items()]
+    return spark.createDataFrame(rows, "plan_source string, source_size long, target double, offset double")
+
+
+def _between(value: Column, low: Column, high: Column) -> Column:
+    return F.greatest(low, F.least(high, value))
+
+
+def _head(state: Column, size: Column) -> Column:
+    """The state after a document of the head: sum of expected copies, words lacking and to come, copies."""
+    none, most = F.lit(0).cast("long"), F.lit(MOST_COPIES).cast("long")
+    lacking, size_ = state["lacking"], F.greatest(size, F.lit(1)).cast("double")
+    expected = F.when(state["words"] > 0, _between(lacking / state["words"], F.lit(0.0), F.lit(float(MOST_COPIES)))).otherwise(F.lit(0.0))
+    drawn = F.least(most, (F.floor(state["at"] + expected) - F.floor(state["at"])).cast("long"))
+    # The later documents give three times their words at most.
+    later = MOST_COPIES * (state["words"] - size)
+    room = _between(F.floor(lacking / size_).cast("long"), none, most)
+    need = _between(F.ceil((lacking - later) / size_).cast("long"), none, most)
+    nearer = F.when(need * size_ - lacking < lacking - later - room * size_, need).otherwise(room)
+    copies = F.when(size == 0, drawn).when(need <= room, _between(drawn, need, room)).otherwise(nearer)
+    return let(
+        copies,
+        lambda n: F.struct(
+            (state["at"] + expected).alias("at"),
+            (lacking - n * size).alias("lacking"),
+            (state["words"] - size).alias("words"),
+            F.concat(state["copies"], F.array(n)).alias("copies"),
+        ),
+    )
+
+
+def _heads(placed: DataFrame, plan: DataFrame) -> DataFrame:
+    """One row per source: copies of its head, and what each document after it expects, with the offset reached."""
+    sizes = F.transform(F.sort_array(F.collect_list(F.struct("position", "size"))), lambda x: x["size"])
+    heads = placed.where(F.col("position") <= HEAD).groupBy("source").agg(sizes.alias("sizes"))
+    start = F.struct(
+        F.col("offset").alias("at"),
+        F.col("target").alias("lacking"),
+        F.col("source_size").cast("double").alias("words"),
+        F.array().cast("array<bigint>").alias("copies"),
+    )
+    # Rounded down, so that no document is taken more than three times.
+    exact = lambda x: (F.floor(x * 1e12) / F.lit(1e12)).cast("decimal(18,15)")
+    rest = _between(F.col("state.lacking") / F.col("state.words"), F.lit(0.0), F.lit(float(MOST_COPIES)))
+    return (
+        heads.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
+        .withColumn("state", F.aggregate("sizes", start, _head))
+        .select(
+            "plan_source",
+            "source_size",
+            "target",
+            F.col("state.copies").alias("head"),
+            F.when(F.col("state.words") > 0, exact(rest)).otherwise(F.lit(0).cast("decimal(18,15)")).alias("expected"),
+            exact(F.col("state.at") - F.floor("state.at")).alias("reached"),
+        )
     )
-    return spark.createDataFrame(rows, schema)
 
 
-def _passed(offset: Column) -> Column:
-    """Whole numbers passed at a position: the copies of its document."""
-    upto = lambda at: F.floor(at.cast("decimal(20,0)") * F.col("expected") + offset)
-    return (upto(F.col("position")) - upto(F.col("position") - 1)).cast("long")
+def _passed() -> Column:
+    """Whole numbers passed at a position after the head: the copies of its document."""
+    upto = lambda at: F.floor(at.cast("decimal(20,0)") * F.col("expected") + F.col("reached"))
+    return (upto(F.col("position") - HEAD) - upto(F.col("position") - HEAD - 1)).cast("long")
 
 
-def copies(sized: DataFrame, key: str, seed: int = 7, draws: int = 16) -> DataFrame:
+def copies(sized: DataFrame, key: str, seed: int = 7) -> DataFrame:
     """``key, size, source_size, target, copies`` for rows of ``key, source, size``.
 
-    Equal sizes are ordered by ``key``. The number of sources is the only thing
-    that the driver sees.
+    Equal sizes are ordered by ``key``. The driver sees one row per source.
     """
-    placed = with_positions(sized, ["source"], ["size", key])
-    plan = _plan(sized.sparkSession, sized, seed, draws)
-    joined = stored(placed.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("offsets"), "placed")
-    offset = lambda d: F.col("offsets")[d]
-    with_offsets = joined.join(plan.select(F.col("plan_source").alias("s"), "offsets"), F.col("source").eqNullSafe(F.col("s")))
-    tried = with_offsets.groupBy("source").agg(
-        F.first("target").alias("wanted"),
-        *[F.sum(F.col("size") * _passed(offset(d))).alias(f"taken_{d}") for d in range(draws)],
-        F.first("offsets").alias("offsets"),
-    )
-    best = F.array_min(
-        F.array(*[F.struct(F.abs(F.col(f"taken_{d}") - F.col("wanted")), offset(d).alias("offset")) for d in range(draws)])
-    )["offset"]
-    chosen = tried.select(F.col("source").alias("s"), best.alias("offset"))
-    return joined.join(chosen, F.col("source").eqNullSafe(F.col("s"))).select(
-        key, "size", "source_size", "target", _passed(F.col("offset")).alias("copies")
+    falling = sized.withColumn("falling", -F.col("size"))
+    placed = stored(with_positions(falling, ["source"], ["falling", key]).drop("falling"), "placed")
+    heads = stored(_heads(placed, _plan(sized.sparkSession, sized, seed)), "heads")
+    return placed.join(heads, F.col("source").eqNullSafe(F.col("plan_source"))).select(
+        key,
+        "size",
+        "source_size",
+        "target",
+        F.when(F.col("position") <= HEAD, F.get("head", (F.col("position") - 1).cast("int"))).otherwise(_passed()).alias("copies"),
     )
 
 
