@@ -38,33 +38,54 @@ TOKEN = r"[A-Za-z0-9+/_.=-]+"
 MIN_TOKEN = 16
 CANDIDATE = r"[A-Za-z0-9+/_.=-]{16,}"
 ORDINARY = r"[A-Za-z0-9+/_.=-]{6,}"
+# Matches of a text whose places are summed up together.
+BLOCK = 256
+
+
+def _blocks(values: Column) -> Column:
+    """An array, already computed, in blocks of ``BLOCK`` values."""
+    starts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    cut = F.transform(starts, lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
+    return F.when(F.size(values) > 0, cut).otherwise(F.slice(F.array(values), 1, 0))
+
+
+def _sums(values: Column) -> Column:
+    """Running sums, first included; the array is copied at each step, so it is to be short."""
+    add = lambda sums, x: F.concat(sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0).cast("long")) + x))
+    return F.aggregate(values, F.array().cast("array<bigint>"), add)
 
 
 def spans(text: Column, pattern: str, order: int, keep=None) -> Column:
     """Places of all matches: an array of (start, end, order), in code points.
 
-    The text between the matches and the matches take turns, so starts are
-    running sums of their lengths.
+    The text between the matches and the matches take turns, so ends are running
+    sums of their lengths: of blocks first, then within each block, as a
+    running sum copies what it has so far at each step.
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def placed(found: Column) -> Column:
         gaps = F.split(text, pattern, -1)
-        lengths = F.zip_with(
+        parts = F.zip_with(
             F.slice(gaps, F.lit(1), F.size(found)),
             found,
-            lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("match")),
+            lambda gap, match: F.struct((F.length(gap) + F.length(match)).cast("long").alias("n"), match.alias("match")),
         )
-        empty = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,text:string>>")
 
-        def add(state: Column, part: Column) -> Column:
-            start = state["at"] + part["gap"]
-            end = start + F.length(part["match"])
-            span = F.struct(start.alias("start"), end.alias("end"), F.lit(order).alias("ord"), part["match"].alias("text"))
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        def of_blocks(blocks: Column) -> Column:
+            total = lambda block: F.aggregate(block, F.lit(0).cast("long"), lambda n, x: n + x["n"])
+            reached = _sums(F.transform(blocks, total))
+            return let(reached, lambda ends: F.flatten(F.transform(blocks, lambda block, i: in_block(block, ends[i] - total(block)))))
+
+        def in_block(block: Column, start: Column) -> Column:
+            def span(part: Column, upto: Column) -> Column:
+                end = start + upto
+                match = part["match"]
+                return F.struct((end - F.length(match)).alias("start"), end.alias("end"), F.lit(order).alias("ord"), match.alias("text"))
 
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-        return F.aggregate(lengths, start, add)["spans"]
+            return F.zip_with(block, _sums(F.transform(block, lambda x: x["n"])), span)
+
+        return let(parts, lambda each: let(_blocks(each), of_blocks))
 
     none = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,text:string>>")
     wanted = F.size(matches) > 0 if keep is None else F.exists(matches, keep)
@@ -72,6 +93,18 @@ def spans(text: Column, pattern: str, order: int, keep=None) -> Column:
     return every if keep is None else F.filter(every, lambda s: keep(s["text"]))
 
 
+def _free(likely: Column, base: Column) -> Column:
+    """Spans of ``likely`` that meet none of ``base``; each block is compared with the base spans around it."""
+    meets = lambda s, b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    def of_block(block: Column) -> Column:
+        around = F.struct(block[0]["start"].alias("start"), F.element_at(block, -1)["end"].alias("end"))
+        near = F.filter(base, lambda b: meets(around, b))
+        return let(near, lambda those: F.filter(block, lambda s: ~F.exists(those, lambda b: meets(s, b))))
+
+    return F.flatten(F.transform(_blocks(likely), of_block))
+
+
 def base_spans(text: Column) -> Column:
     """Spans of the three fixed patterns; each is looked for where it can occur."""
     none = F.array().cast("array<struct<start:bigint,end:bigint,ord:int,text:string>>")
@@ -128,15 +161,18 @@ def labelled_samples(docs: DataFrame, max_texts: int, max_tokens: int) -> tuple[
     """Random strings and ordinary identifiers, each a bounded sample.
 
     Random: values of base patterns, the ``max_tokens`` of smallest hash.
-    Ordinary: other tokens of the ``max_texts`` texts of smallest hash, and of
-    them the ``max_tokens`` of smallest hash.
+    Ordinary: other tokens of the ``max_texts`` different texts of smallest hash, and of
+    them the ``max_tokens`` of smallest hash. Only hashes are ordered; the texts are
+    read again and those with a chosen hash are cut into tokens where they lie.
     """
     text = whole("text")
     values = docs.select(F.explode(base_spans(text)).alias("span")).select(
         F.when(F.col("span.ord") == 0, F.regexp_extract("span.text", ASSIGN, 2)).otherwise(F.col("span.text")).alias("token")
     )
     random = values.where(F.length("token") >= MIN_TOKEN).distinct().orderBy(F.xxhash64("token"), "token").limit(max_tokens)
-    picked = docs.select(text.alias("text")).orderBy(F.xxhash64("text"), "text").limit(max_texts)
+    hashed = docs.select(F.xxhash64(text).alias("hash"), text.alias("text"))
+    chosen = hashed.select("hash").distinct().orderBy("hash").limit(max_texts)
+    picked = hashed.join(F.broadcast(chosen), "hash", "left_semi")
     ordinary = (
         picked.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("token"))
         .distinct()
@@ -169,7 +205,7 @@ def with_secrets(docs: DataFrame, model: RandomModel | None, text: str = "text")
     if model is None:
         return base.withColumn("secrets", F.col("base"))
     likely = spans(whole(text), CANDIDATE, 3, lambda token: model.score(token) >= F.lit(model.cut))
-    free = F.filter(likely, lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = let(likely, lambda found: _free(found, F.col("base")))
     return base.withColumn("secrets", F.array_sort(F.concat("base", free)))
 
 
