@@ -12,11 +12,12 @@ from lakeretrieve.streaming import stream_cells, stream_chat, stream_postings, s
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    return (
-        t.spark.readStream.schema(t.read(name).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(t.dir)
-    )
+    """A table as a stream, be it one file or a folder of files.
+
+    The pattern of one letter matches the table's own path only. A plain path would be
+    taken for the root of partition folders, which a file cannot be.
+    """
+    return t.spark.readStream.schema(t.read(name).schema).parquet(f"{t.dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 @query(
