@@ -63,10 +63,16 @@ def _distances(kind: str, queries: np.ndarray, block: np.ndarray) -> np.ndarray:
     if kind == "cosine":
         return np.round(np.maximum(0.0, 1.0 - queries @ block.T), 12)
     out = np.empty((len(queries), len(block)))
+    diff = np.empty_like(block)
     for i, query in enumerate(queries):
-        diff = block - query
-        out[i] = np.sqrt((diff * diff).sum(axis=1)) if kind == "l2" else np.abs(diff).sum(axis=1)
-    return out
+        np.subtract(block, query, out=diff)
+        # In place: a fresh array of this size is paged in anew each time.
+        if kind == "l2":
+            np.multiply(diff, diff, out=diff)
+        else:
+            np.abs(diff, out=diff)
+        diff.sum(axis=1, out=out[i])
+    return np.sqrt(out, out=out) if kind == "l2" else out
 
 
 def _place_in_run(sorted_keys: np.ndarray) -> np.ndarray:
@@ -204,9 +210,9 @@ def _broadcast_layout(corpus, queries, probes, dim, kind, k, below, out: T.Struc
     if probes is not None:
         place = {qid: i for i, qid in enumerate(qids.tolist())}
         asking = {}
-        for row in probes.toLocalIterator():
-            asking.setdefault(row[1], []).append(place[row[0]])
-        asking = {cell: np.array(sorted(members)) for cell, members in asking.items()}
+        # A cell's queries come together: as many rows as there are probed cells.
+        for cell, members in probes.groupBy("cell").agg(F.collect_list("qid")).toLocalIterator():
+            asking[cell] = np.array(sorted(place[qid] for qid in members))
         # Only probed cells are read: a partition filter on the cell table.
         corpus = corpus.filter(F.col("cell").isin(sorted(asking)))
     shipped = spark.sparkContext.broadcast((qids, matrix, bound, asking))
