@@ -32,7 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeretrieve.llm.common import stored, with_row_key
+from lakeretrieve.llm.common import rows_kept, stored, unused, with_row_key
 from lakeretrieve.llm.components import connected_components
 from lakeretrieve.llm.registry import QUERIES, table
 
@@ -297,15 +297,20 @@ def links(nodes: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> Dat
     return dealt.mapInPandas(run, "a long, b long")
 
 
-def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``print_fp, component_id`` for rows of ``doc_id, fp``, one row per fingerprint."""
+def rooted(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``fp, least, root`` for rows of ``doc_id, fp``, one row per fingerprint."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = connected_components(links(nodes.select("fp"), distance))
-    rooted = stored(
+    return stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted"
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of")
-    return rooted.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("print_fp"), "component_id")
+
+
+def components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``print_fp, component_id`` for rows of ``doc_id, fp``, one row per fingerprint."""
+    named = rooted(prints, distance)
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "of")
+    return named.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("print_fp"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = DISTANCE) -> DataFrame:
@@ -317,15 +322,17 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = DISTANCE) -
 
 
 def keep_one(docs: DataFrame, width: int = 5, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component: that of the smallest id, of equal or null ids the first stored row."""
-    numbered = with_row_key(docs, "__row")
-    prints = stored(with_fingerprints(numbered.select("doc_id", "__row", "text"), width), "prints")
-    named = prints.join(components(prints.select("doc_id", "fp"), distance), F.col("fp") == F.col("print_fp"))
-    first = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("__row").alias("__kept"))
-    # Components without any id share the null: each keeps its own first row.
-    unnamed = named.where("component_id is null").groupBy("fp").agg(F.min("__row").alias("__kept"))
-    kept = first.where("doc_id is not null").select("__kept").unionByName(unnamed.select("__kept"))
-    return numbered.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*docs.columns)
+    """One row of each component, with its own columns: that of the smallest id, null ids last, of equal ids the first stored row."""
+    key = unused("__row", docs)
+    numbered = with_row_key(docs, key)
+    rows = numbered.select("doc_id", F.col(key).alias("row"), "text")
+    prints = stored(with_fingerprints(rows, width), "prints")
+    named = rooted(prints.select("doc_id", "fp"), distance).select(F.col("fp").alias("print_fp"), "root")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    # Equal texts come down to one row before they meet their component.
+    by_print = prints.groupBy("fp").agg(first)
+    kept = by_print.join(named, F.col("fp") == F.col("print_fp")).groupBy("root").agg(F.min("first").alias("first"))
+    return rows_kept(numbered, key, stored(kept.select("first.row"), "kept"), docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

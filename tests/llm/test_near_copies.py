@@ -2,7 +2,8 @@
 
 import random
 
-from lakeretrieve.llm import near_copies
+import corpus_pipeline
+from lakeretrieve.llm import near_copies, simhash
 from tests.llm.test_operators import prose
 
 
@@ -48,3 +49,20 @@ def test_equal_ids_do_not_lose_a_component(spark):
     rows = [(1, prose(1, 60)), (1, prose(2, 60)), (2, prose(2, 60)), (None, prose(3, 60)), (None, prose(3, 60) + " x")]
     got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 3
+
+
+def test_pipeline_stage_links_by_fingerprint(spark):
+    # Repeats leave the majority of every bit as it is, and the sets of shingles far apart.
+    lead, tail = prose(7, 30), prose(8, 60)
+    rows = [(1, " ".join([lead] * 40)), (2, " ".join([*[lead] * 40, tail])), (3, prose(9, 60)), (4, prose(9, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(near_copies.keep_one(docs).collect()) == 3
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(x["doc_id"] for x in kept) == [1, 3]
+    assert sorted(x["doc_id"] for x in simhash.keep_one(docs).collect()) == [1, 3]
+
+
+def test_fingerprints_keep_one_row_of_a_component(spark):
+    rows = [(1, prose(1, 60)), (1, prose(2, 60)), (2, prose(2, 60)), (None, prose(3, 60)), (None, prose(3, 60))]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 3
