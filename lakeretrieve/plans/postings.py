@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeretrieve.functions.text import DEFAULT_ANALYZER, match_mode, tokenize
 from lakeretrieve.plans.lookup import shipped
-from lakeretrieve.plans.spread import spread
+from lakeretrieve.plans.spread import input_bytes, spread
 from lakeretrieve.plans.topk import top_per_group
 from lakeretrieve.session import materialise
 
 BUCKETS = 64
 SALTS = 16
+# Bytes of the indexed tables whose postings one task lays out.
+TASK_BYTES = 8 << 20
 # Distinct query words up to this number become a filter of the index scan.
 FEW_TERMS = 100
 
@@ -38,11 +40,16 @@ def write_postings(
     """Store postings by term bucket; salts keep a hot term out of one task.
 
     Rows are sorted by term inside a file, so that a search for a few terms
-    skips most row groups of the buckets it opens.
+    skips most row groups of the buckets it opens. A table too large for
+    ``buckets x salts`` tasks has more salts; rows of unknown size keep theirs.
     """
+    size, conf = input_bytes(postings), postings.sparkSession._jsparkSession.sessionState().conf()
+    tasks = 0 if size >= conf.defaultSizeInBytes() else -(-size // TASK_BYTES)
+    salts = max(salts, -(-tasks // buckets))
+    number = [tasks] if tasks > conf.numShufflePartitions() else []
     (
         postings.withColumn("bucket", term_bucket("term", buckets))
-        .repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)))
+        .repartition(*number, "bucket", F.pmod(F.xxhash64("id"), F.lit(salts)))
         .sortWithinPartitions("bucket", "term", "id", "pos")
         .write.mode(mode)
         .partitionBy("bucket")
