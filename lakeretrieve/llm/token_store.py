@@ -28,13 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from public_tokenizers import path as vocabulary_path
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakeretrieve.llm.common import stored, whole
 from lakeretrieve.llm.registry import QUERIES, table
-from lakeretrieve.llm.tokens import encoder
+from lakeretrieve.llm.tokens import encoder, few_at_once
 
 MAGIC = b"S8B1"
 # (ids, bits) of each selector; the last selector is the escape.
@@ -130,37 +131,44 @@ def decode_segment(payload: bytes, first_block: int = 0, last_block: int | None
 
 
 SEGMENTS = "part int, seg int, before long, doc_ids array<long>, lengths array<long>, payload binary"
+FIELDS = pa.schema(
+    [
+        ("part", pa.int32()), ("seg", pa.int32()), ("before", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary()),
+    ]
+)
 
 
 def write_tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """The stored table of segments of ``doc_id, text``."""
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_all = encoder(vocabulary).encode_all
         part, seg, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, coded, held = [], [], 0
 
-        def segment() -> pd.DataFrame:
+        def segment() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(coded), "<u4")
             lengths = [len(c) // 4 for c in coded]
-            return pd.DataFrame([(part, seg, before, list(doc_ids), lengths, encode_segment(ids))], columns=["part", "seg", "before", "doc_ids", "lengths", "payload"])
+            columns = zip((part, seg, before, doc_ids, lengths, encode_segment(ids)), FIELDS.types)
+            return pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in columns], schema=FIELDS)
 
-        for rows in batches:
-            for doc_id, ids in zip(rows["doc_id"].astype(object), encode_all(rows["text"])):
+        for batch in batches:
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_all(few_at_once(batch.column("text")))):
                 ids += end
                 if held and held + len(ids) > 4 * SEGMENT_IDS:
                     yield segment()
                     seg, before = seg + 1, before + held // 4
                     doc_ids, coded, held = [], [], 0
-                doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
+                doc_ids.append(doc_id)
                 coded.append(ids)
                 held += len(ids)
         if coded:
             yield segment()
 
     ordered = docs.select("doc_id", whole("text").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return stored(ordered.mapInPandas(run, SEGMENTS), "tokens", "none")
+    return stored(ordered.mapInArrow(run, SEGMENTS), "tokens", "none")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:

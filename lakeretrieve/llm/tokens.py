@@ -27,7 +27,8 @@ from tokenizers import Tokenizer
 MOST_CHUNKS = 450_000
 LONGEST_CHUNK = 64
 # Characters of a block of texts (a longer text is a block of its own), and chunks tokenized together.
-BLOCK_CHARS = 4_000_000
+# A block takes about thirty bytes a character beside the memory, and all workers of an executor have one.
+BLOCK_CHARS = 1_000_000
 TOGETHER = 64
 
 # Stands between chunks; no text that is cut into chunks has it.
@@ -100,6 +101,8 @@ class Encoder:
         ends = np.concatenate(([0], np.cumsum(counts)))
         places = np.repeat((np.cumsum(sizes) - sizes)[numbers] - ends[:-1], counts) + np.arange(ends[-1])
         raw, bounds = flat[places].tobytes(), (4 * ends[chunks.offsets.to_numpy()]).tolist()
+        del held, chunks, numbered, numbers, known, flat, sizes, counts, ends, places
+        pa.default_memory_pool().release_unused()
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _known(self, chunks: list[str]) -> list[bytes]:
@@ -135,6 +138,12 @@ class Encoder:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+def few_at_once(texts: pa.Array, rows: int = 256) -> Iterator[str]:
+    """The texts of a column as strings, so many rows of it at a time."""
+    for at in range(0, len(texts), rows):
+        yield from texts.slice(at, rows).to_pylist()
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per worker and vocabulary file."""
