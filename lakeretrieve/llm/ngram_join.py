@@ -23,7 +23,7 @@ shared counters change the work and never the result.
 Equal sets are one node. In a few turns, one node of each key is compared with the
 key's nodes of other components; keys differ in it, so a group of near copies
 is linked by several stars. Then the nodes that still meet other components are
-all compared, in blocks where a key is crowded. Parities of the tokens bound how far two sets
+all compared, in blocks where a key is crowded, and in one key of those that the same nodes have. Parities of the tokens bound how far two sets
 differ, so nodes that share a passage only make no rows. Texts are fetched for the
 pairs left, and the whole sets are compared. Texts meet in groups of one node
 and at most about ``BLOCK`` others.
@@ -355,19 +355,30 @@ def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
 
 
+def _distinct_keys(mixed: DataFrame) -> DataFrame:
+    """``of, n``: one key of those that the same nodes have, with how many they are.
+
+    A passage that long texts share gives them hundreds of keys. Node sets are told apart by
+    their number and 128 bits of hashes.
+    """
+    nodes = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"nodes{i}") for i in range(2)]
+    each = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *nodes)
+    return each.groupBy("n", "nodes0", "nodes1").agg(F.min("key").alias("of")).select("of", "n")
+
+
 def _rest_pairs(mixed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs of different components that meet in a key and may link."""
-    crowds = mixed.groupBy(F.col("key").alias("of")).agg(F.ceil(F.count(F.lit(1)) / CROWDED).cast("int").alias("blocks"))
+    crowds = _distinct_keys(mixed).select("of", F.ceil(F.col("n") / CROWDED).cast("int").alias("blocks"))
     own = mixed.join(crowds, F.col("key") == F.col("of")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # Every pair of blocks is a group of its own; a pair within one block meets in that block's own group.
     paired = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "fp", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    rows = stored(paired.join(nodes.select("fp", "n", *PARITIES), "fp"), "apart")
-    columns = ("fp", "n", *PARITIES, "key", "i", "j", "own", "root")
+    rows = stored(paired.join(nodes.select("fp", "n", *PARITIES, "wide"), "fp"), "apart")
+    columns = ("fp", "n", *PARITIES, "wide", "key", "i", "j", "own", "root")
     same_group = (F.col("a_key") == F.col("b_key")) & (F.col("a_i") == F.col("b_i")) & (F.col("a_j") == F.col("b_j"))
     once = (F.col("a_fp") < F.col("b_fp")) & ((F.col("a_i") == F.col("a_j")) | (F.col("a_own") != F.col("b_own")))
-    near = once & (F.col("a_root") != F.col("b_root")) & may_link(num, den)
+    near = once & (F.col("a_root") != F.col("b_root")) & may_link(num, den) & may_link_long(num, den)
     met = _side(rows, "a", columns).join(_side(rows, "b", columns), same_group & near)
     return met.select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b")).distinct()
 
