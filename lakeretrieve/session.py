@@ -75,12 +75,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Rows written to the shared folder and read back.
 
     Like a checkpoint it survives lost executors; unlike one it is columnar and
     has a known size, so that later joins are planned on facts.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

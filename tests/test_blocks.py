@@ -2,7 +2,10 @@
 
 import os
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakeretrieve.plans import blocks
@@ -101,3 +104,21 @@ def test_scan_is_pruned_by_term(spark, tmp_path):
     rows = blocks._of_terms(index.blocks, terms, 1, ["b"]).select("docs")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,b)" in plan and "positions" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_no_decoded_row_is_shuffled_for_its_id(spark, tmp_path):
+    """Ids come to whole blocks, however large the table of documents is."""
+    corpus = spark.createDataFrame([(i // 2, f"a b{i % 3} a") for i in range(40)] + [(None, "a c")], "id long, content string")
+    index = blocks.write_index(corpus, str(tmp_path / "index"))
+    found = index.postings()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan
+    expected = Counter((t, i, p) for i, text in corpus.collect() for p, t in enumerate(text.split()))
+    assert Counter(map(tuple, found.collect())) == expected
+
+
+def test_no_slice_reaches_into_another_files_numbers():
+    docs = np.array([5, 6, 1 << blocks.NUMBER_BITS, (1 << blocks.NUMBER_BITS) + 1])
+    batch = pa.record_batch({"doc": pa.array(docs), "tokens": pa.array([["a"]] * 4)})
+    made = list(blocks._to_blocks(iter([batch])))
+    assert [(b.column("base").to_pylist(), b.column("docs").to_pylist()) for b in made] == [([5], [[0, 1]]), ([1 << blocks.NUMBER_BITS], [[0, 1]])]
