@@ -279,6 +279,7 @@ def nearest(
     *,
     below: float | None = None,
     probes: DataFrame | None = None,
+    within: str | None = None,
     layout: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
     tile_rows: int = TILE_ROWS,
@@ -289,14 +290,19 @@ def nearest(
 
     ``corpus`` has ``id, vector`` (and ``cell`` when ``probes (qid, cell)`` is
     given), ``queries`` has ``qid, qvector``. ``below`` keeps distances under a
-    threshold. One job first measures the number and length of the queries.
+    threshold. ``within`` names a column of the queries: a distance beyond which the caller needs no
+    neighbours, or null; tasks emit no candidates beyond it. One job first measures the number and length of the queries.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     if layout not in ("auto", "broadcast", "tiles"):
         raise ValueError(f"unknown layout: {layout}")
     kind = metric_kind(metric)
-    queries = queries.select("qid", "qvector").filter(F.col("qvector").isNotNull())
+    # The slack covers rounding between two passes.
+    slack = lambda x: x * (1 + 1e-9) + 1e-9
+    known = F.lit(None).cast("double") if within is None else slack(F.col(within))
+    unbounded = queries.select("qid", "qvector", known.alias("bound")).filter(F.col("qvector").isNotNull())
+    queries = unbounded.select("qid", "qvector")
     size = queries.agg(
         F.count(F.lit(1)).alias("n"), F.min(F.size("qvector")).alias("low"), F.max(F.size("qvector")).alias("high")
     ).first()
@@ -322,9 +328,8 @@ def nearest(
             found = _tile_layout(rows, asked, probes, size["n"], dim, kind, k, below, out, tile_rows)
         return top_per_group(found, ["qid"], [F.col("distance"), F.col("id")], k)
 
-    unbounded = queries.withColumn("bound", F.lit(None).cast("double"))
     tasks = scan_splits(usable) if layout == "broadcast" else None
-    if probes is None:
+    if probes is None and within is None:
         # Every task may emit k rows of every query.
         total = None if tasks is not None and tasks * size["n"] * k <= many_candidates else usable.count()
         if total is not None and tasks is None:
@@ -333,8 +338,7 @@ def nearest(
             first = search(usable.sample(sample_rows / total, seed=1), unbounded)
             limits = first.groupBy("qid").agg(
                 F.count(F.lit(1)).alias("n"),
-                # The slack covers rounding between two passes.
-                (F.max("distance") * (1 + 1e-9) + 1e-9).alias("bound"),
+                slack(F.max("distance")).alias("bound"),
             )
             limits = limits.filter(F.col("n") == k).select("qid", "bound")
             unbounded = queries.join(limits, "qid", "left")

@@ -71,10 +71,10 @@ def _bounds(query: np.ndarray, centres: np.ndarray, radii: np.ndarray, kind: str
 
 
 def _planned(open_: DataFrame, cells: tuple, kind: str, first: int, width: int, below: float | None) -> DataFrame:
-    """Open queries with the ``cells`` of a round and the bound of the ``next`` one, null if none can matter."""
+    """Open queries with their ``kth`` distance, the ``cells`` of a round and the bound of the ``next`` one, null if none can matter."""
     numbers, centres, radii = cells
     out = T.StructType(
-        [open_.schema["qid"], T.StructField("qvector", T.ArrayType(T.DoubleType())), T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("next", T.DoubleType())]
+        [open_.schema["qid"], T.StructField("qvector", T.ArrayType(T.DoubleType())), T.StructField("kth", T.DoubleType()), T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("next", T.DoubleType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +92,7 @@ def _planned(open_: DataFrame, cells: tuple, kind: str, first: int, width: int,
                 end = int(np.searchsorted(bound[order], limit, side="right"))
                 chosen.append(numbers[order[first : min(end, first + width)]].tolist())
                 following.append(float(bound[order[first + width]]) if first + width < end else None)
-            columns = [batch.column("qid"), batch.column("qvector"), pa.array(chosen, pa.list_(pa.int32())), pa.array(following, pa.float64())]
+            columns = [batch.column("qid"), batch.column("qvector"), batch.column("kth"), pa.array(chosen, pa.list_(pa.int32())), pa.array(following, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
     return open_.select("qid", F.col("qvector").cast("array<double>").alias("qvector"), "kth").mapInArrow(run, out)
@@ -131,12 +131,13 @@ def nearest_proven(
         planned = materialise(_planned(open_, cells, kind, first, width, below), "planned")
         reading = planned.filter(F.size("cells") > 0)
         probes = reading.select("qid", F.explode("cells").alias("cell"))
-        hits = nearest(rows, reading.select("qid", "qvector"), k, metric, below=below, probes=probes).select("qid", "id", "distance")
+        # What was found so far bounds what the tasks of this round emit.
+        hits = nearest(rows, reading.select("qid", "qvector", "kth"), k, metric, below=below, probes=probes, within="kth").select("qid", "id", "distance")
         both = hits if found is None else found.unionByName(hits)
         best = top_per_group(both, ["qid"], [F.col("distance"), F.col("id")], k)
         found = materialise(best.select("qid", "id", "distance"), "found")
         full = found.groupBy(F.col("qid").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth")).filter(F.col("n") == k)
-        left = planned.filter(F.col("next").isNotNull()).join(full, F.col("qid").eqNullSafe(F.col("of")), "left")
+        left = planned.filter(F.col("next").isNotNull()).drop("kth").join(full, F.col("qid").eqNullSafe(F.col("of")), "left")
         open_ = materialise(left.filter(F.col("kth").isNull() | (F.col("kth") >= F.col("next"))).select("qid", "qvector", "kth"), "open")
         if open_.isEmpty():
             break

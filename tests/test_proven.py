@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeretrieve.functions.metadata import metadata_filter, promote_keys, promoted_filter
 from lakeretrieve.operators import vector as op
-from lakeretrieve.plans import cells, proven
+from lakeretrieve.plans import cells, neighbours, proven
 
 
 def rows_of(df):
@@ -98,3 +98,18 @@ def test_edges(spark, corpus, tmp_path):
     assert proven.nearest_proven(index.limit(0), centres.limit(0), odd, 3).count() == 0
     with pytest.raises(ValueError):
         proven.nearest_proven(index, centres, odd, 0)
+
+
+def test_later_rounds_emit_only_what_can_still_matter(spark, corpus, queries, tmp_path, monkeypatch):
+    index, centres = built(spark, corpus, str(tmp_path / "i"), "l2")
+    emitted, plain = [], neighbours.top_per_group
+
+    def counted(found, *args, **options):
+        emitted.append(found.count())
+        return plain(found, *args, **options)
+
+    monkeypatch.setattr(neighbours, "top_per_group", counted)
+    found = rows_of(proven.nearest_proven(index, centres, queries, 8, "l2", first_cells=4, growth=20))
+    assert len(emitted) > 1 and sum(emitted[1:]) < emitted[0]
+    monkeypatch.undo()
+    assert found == rows_of(op.knn_batch(corpus, queries, 8, "l2"))
