@@ -142,7 +142,7 @@ def drawn(docs: DataFrame, target: DataFrame, percent: int = DRAWN_PERCENT) -> D
     key = unused("__row", docs)
     numbered = with_row_key(docs, key)
     taken = resampled(numbered.select("doc_id", "text", F.col(key).alias("__row")), target, percent=percent).where("rank is not null")
-    return rows_kept(numbered, key, taken.select("__row"), docs.columns)
+    return rows_kept(numbered, key, stored(taken.select("__row"), "taken"), docs.columns)
 
 
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,10 +43,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from xxhash import xxh64_intdigest
 
-from lakeretrieve.llm.common import rows_kept, stored, unused, with_row_key
+from lakeretrieve.llm.common import bits_set, rows_kept, stored, unused, with_bit_tests, with_row_key
 from lakeretrieve.llm.components import connected_components
 from lakeretrieve.llm.registry import QUERIES, table
 
@@ -61,8 +61,6 @@ TOKENS_PER_CLASS = 10
 # Other nodes that a node is compared with in one group, and nodes of a block of a crowded key.
 BLOCK = 256
 CROWDED = 4096
-# Bits that tell the rows whose texts are fetched, as a table of an eighth of so many bytes.
-FILTER_BITS = 1 << 24
 ROW = "__row"
 # Turns of stars before all remaining pairs are compared; more of them leave fewer pairs.
 TURNS = 2
@@ -119,9 +117,10 @@ def token_loads(texts: DataFrame, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(loads[seen])], ["counter", "n"])
 
     each = texts.mapInArrow(run, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    counts = each.toPandas()
+    # Columns, not rows: the driver holds two numbers a counter.
+    counts = each.toArrow()
     loads = np.zeros(COUNTERS, np.int64)
-    loads[counts["counter"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    loads[counts["counter"].to_numpy()] = counts["n"].to_numpy()
     return loads
 
 
@@ -292,11 +291,8 @@ def texts_at(numbered: DataFrame, places: DataFrame) -> DataFrame:
     bits are a table of ``FILTER_BITS / 64`` rows at most; where more rows are
     wanted than it can tell apart, more texts are shuffled and the result is the same.
     """
-    bit = lambda row: F.pmod(F.xxhash64(row), F.lit(FILTER_BITS))
-    word, flag = F.shiftright("bit", 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("bit", F.lit(64)).cast("int"))
-    bits = places.select(bit("first_row").alias("bit")).groupBy(word.alias("word")).agg(F.bit_or(flag).alias("flags"))
-    marked = numbered.select("row", "text", bit("row").alias("bit")).join(F.broadcast(bits), word == F.col("word"))
-    wanted = marked.where(F.col("flags").bitwiseAND(flag) != 0).select("row", "text")
+    bits = bits_set(places, "first_row", "word", wanted=F.lit(True))
+    wanted = with_bit_tests(numbered.select("row", "text"), "row", bits, "word").where("wanted").select("row", "text")
     return wanted.join(places, F.col("row") == F.col("first_row")).drop("row", "first_row")
 
 
@@ -355,20 +351,60 @@ def _star_pairs(mixed: DataFrame, turn: int) -> DataFrame:
     return met.select(F.least("fp", "leader.fp").alias("a"), F.greatest("fp", "leader.fp").alias("b")).distinct()
 
 
+def _node_sets(mixed: DataFrame) -> DataFrame:
+    """``key, n, nodes0, nodes1``: what tells the nodes of each key, their number and 128 bits of hashes."""
+    nodes = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"nodes{i}") for i in range(2)]
+    return mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *nodes)
+
+
 def _distinct_keys(mixed: DataFrame) -> DataFrame:
-    """``of, n``: one key of those that the same nodes have, with how many they are.
+    """``of, n, nodes0, nodes1``: one key of those that the same nodes have, with how many they are.
 
-    A passage that long texts share gives them hundreds of keys. Node sets are told apart by
-    their number and 128 bits of hashes.
+    A passage that long texts share gives them hundreds of keys.
     """
-    nodes = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"nodes{i}") for i in range(2)]
-    each = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *nodes)
-    return each.groupBy("n", "nodes0", "nodes1").agg(F.min("key").alias("of")).select("of", "n")
+    return _node_sets(mixed).groupBy("n", "nodes0", "nodes1").agg(F.min("key").alias("of")).select("of", "n", "nodes0", "nodes1")
+
+
+def _met_in(mixed: DataFrame) -> DataFrame:
+    """``key, fp, root`` with fewer keys, in which all nodes still meet that met before.
+
+    A group of texts with much in common meets in hundreds of keys, each without the few nodes that
+    differ there. The largest key of a node is its main one, and a key goes into the main key that most of its
+    nodes have, if that one goes into itself: its nodes join those of the main key, so none of its
+    pairs is lost. Where the nodes that came along make more pairs than the keys had one by one, only
+    keys without a foreign node go into the main one.
+    """
+    classes = stored(_node_sets(mixed).join(_distinct_keys(mixed), ["n", "nodes0", "nodes1"]).select("key", "of", "n"), "classes")
+    placed = mixed.join(classes.withColumnRenamed("key", "__key"), F.col("key") == F.col("__key")).select("fp", "of", "n").distinct()
+    main = F.max(F.struct("n", "of")).over(Window.partitionBy("fp")).getField("of")
+    shares = placed.select("of", "n", main.alias("main")).groupBy("of", "n", "main").agg(F.count(F.lit(1)).alias("own"))
+    most = shares.groupBy("of", "n").agg(F.max(F.struct("own", "main")).alias("most")).select("of", "n", "most.*")
+    most = stored(most, "most")
+    heads = most.where("of = main").select(F.col("of").alias("head"))
+    joined = most.join(heads, F.col("main") == F.col("head"), "left").select(
+        "of", "n", (F.col("n") > F.col("own")).alias("foreign"), F.coalesce("head", "of").alias("into")
+    )
+    joined = stored(joined, "into")
+
+    def regrouped(into: DataFrame) -> DataFrame:
+        names = classes.select(F.col("key").alias("__key"), "of").join(into.select(F.col("of").alias("__of"), "into"), F.col("of") == F.col("__of"))
+        met = mixed.join(names.select("__key", "into"), F.col("key") == F.col("__key"))
+        return stored(met.select(F.col("into").alias("key"), "fp", "root").distinct(), "met")
+
+    met = regrouped(joined)
+    before = joined.groupBy("into").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    now = met.groupBy(F.col("key").alias("dear")).agg(F.count(F.lit(1)).alias("now"))
+    dear = stored(now.join(before, F.col("dear") == F.col("into")).where(F.col("now") * F.col("now") > F.col("pairs")).select("dear"), "dear")
+    if dear.isEmpty():
+        return met
+    alone = F.col("dear").isNotNull() & F.col("foreign")
+    return regrouped(joined.join(dear, F.col("into") == F.col("dear"), "left").select("of", F.when(alone, F.col("of")).otherwise(F.col("into")).alias("into")))
 
 
 def _rest_pairs(mixed: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """All pairs of different components that meet in a key and may link."""
-    crowds = _distinct_keys(mixed).select("of", F.ceil(F.col("n") / CROWDED).cast("int").alias("blocks"))
+    mixed = _met_in(mixed)
+    crowds = mixed.groupBy(F.col("key").alias("of")).agg(F.ceil(F.count(F.lit(1)) / CROWDED).cast("int").alias("blocks"))
     own = mixed.join(crowds, F.col("key") == F.col("of")).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # Every pair of blocks is a group of its own; a pair within one block meets in that block's own group.
     paired = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -387,7 +423,10 @@ def node_roots(sets: DataFrame, numbered: DataFrame, nodes: DataFrame, width: in
     """``node, root`` of every node that links with another."""
     keyed = sets.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "fp")
     ends = keyed.groupBy(F.col("key").alias("of")).agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
-    met = keyed.join(ends.where("least <> most").select("of"), F.col("key") == F.col("of"), "left_semi")
+    several = stored(ends.where("least <> most").select("of"), "several")
+    # Most keys have one node; the bits of the others keep them from a second shuffle.
+    likely = with_bit_tests(keyed, "key", bits_set(several, "of", "word", likely=F.lit(True)), "word").where("likely")
+    met = likely.select("key", "fp").join(several, F.col("key") == F.col("of"), "left_semi")
     shared = stored(met.distinct(), "shared")
 
     def verified(pairs: DataFrame) -> DataFrame:
