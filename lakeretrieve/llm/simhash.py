@@ -211,8 +211,10 @@ def bucket_rows(nodes: DataFrame, groups: list[list[int]], distance: int) -> Dat
 
     sums = [np.zeros(1 << _counted(len(g))) for g in groups]
     schema = "part long, value long, n long"
-    for row in nodes.select("fp").mapInPandas(histograms, schema).groupBy("part", "value").agg(F.sum("n").alias("n")).collect():
-        sums[row["part"]][row["value"]] = row["n"]
+    seen = nodes.select("fp").mapInPandas(histograms, schema).groupBy("part", "value").agg(F.sum("n").alias("n")).toArrow()
+    part, value, n = (seen[c].to_numpy() for c in ("part", "value", "n"))
+    for i, s in enumerate(sums):
+        s[value[part == i]] = n[part == i]
     estimates = [_estimates(s, len(g), distance) for s, g in zip(sums, groups)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

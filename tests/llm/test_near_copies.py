@@ -66,3 +66,25 @@ def test_fingerprints_keep_one_row_of_a_component(spark):
     rows = [(1, prose(1, 60)), (1, prose(2, 60)), (2, prose(2, 60)), (None, prose(3, 60)), (None, prose(3, 60))]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(got) == 3
+
+
+def test_kept_rows_do_not_shuffle_all_texts(spark, monkeypatch):
+    from lakeretrieve.llm import common
+
+    for bits in (1 << 24, 64):  # with 64 bits all rows are in doubt
+        monkeypatch.setattr(common, "FILTER_BITS", bits)
+        numbered = common.stored(spark.range(3000).selectExpr("id as `a.key`", "concat('text ', id) as text", "id % 3 as __kept"), "rows")
+        kept = common.stored(spark.range(0, 3000, 7), "kept")
+        found = common.rows_kept(numbered, "a.key", kept, ["text", "__kept"])
+        assert sorted(x["text"] for x in found.collect()) == sorted(f"text {i}" for i in range(0, 3000, 7))
+        doubtful = found._jdf.queryExecution().analyzed().toString()
+        assert "Union" in doubtful
+    assert found.columns == ["text", "__kept"]
+
+
+def test_texts_are_not_joined_again_by_each_step(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(i // 2, 60)) for i in range(20)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(near_copies, "keep_one", lambda left, width: seen.append(left) or left)
+    corpus_pipeline.near_duplicates(spark, docs, "")
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
