@@ -26,9 +26,28 @@ def term_bucket(term: str = "term", buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def build_postings(corpus: DataFrame, analyzer: str = DEFAULT_ANALYZER, text: str = "content") -> DataFrame:
-    """``(term, id, pos)`` of every token of every document."""
-    rows = spread(corpus.select("id", text))
+def _layout_tasks(df: DataFrame) -> int:
+    """Tasks for the postings of the tables below a plan; 0 if their size is unknown."""
+    size = input_bytes(df)
+    return 0 if size >= df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes() else -(-size // TASK_BYTES)
+
+
+def _by_id(rows: DataFrame) -> DataFrame:
+    tasks = _layout_tasks(rows)
+    number = [max(tasks, rows.sparkSession.sparkContext.defaultParallelism)] if tasks else []
+    return rows.repartition(*number, "id")
+
+
+def build_postings(
+    corpus: DataFrame, analyzer: str = DEFAULT_ANALYZER, text: str = "content", *, by_id: bool = False
+) -> DataFrame:
+    """``(term, id, pos)`` of every token of every document.
+
+    For counts of each id, ``by_id`` brings the texts of an id into one task before they are analysed. Then no
+    posting is shuffled, and a task holds the ids and terms of about ``TASK_BYTES`` of the tables at any size.
+    """
+    rows = corpus.select("id", text)
+    rows = _by_id(rows) if by_id else spread(rows)
     return rows.select(F.posexplode(tokenize(F.col(text), analyzer)).alias("pos", "term"), "id").select(
         "term", "id", "pos"
     )
@@ -43,8 +62,7 @@ def write_postings(
     skips most row groups of the buckets it opens. A table too large for
     ``buckets x salts`` tasks has more salts; rows of unknown size keep theirs.
     """
-    size, conf = input_bytes(postings), postings.sparkSession._jsparkSession.sessionState().conf()
-    tasks = 0 if size >= conf.defaultSizeInBytes() else -(-size // TASK_BYTES)
+    tasks, conf = _layout_tasks(postings), postings.sparkSession._jsparkSession.sessionState().conf()
     salts = max(salts, -(-tasks // buckets))
     number = [tasks] if tasks > conf.numShufflePartitions() else []
     (

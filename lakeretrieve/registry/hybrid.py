@@ -72,7 +72,7 @@ def ingest(t: Tables):
     # One id per content: the postings of equal documents are the same rows.
     rows = prepare_texts(t.texts.select("content", "metadata"), lambda c: hash_embedding(c, 16))
     rows = rows.dropDuplicates(["id"])
-    terms = build_postings(rows).groupBy("id").agg(F.count_distinct("term").alias("terms"))
+    terms = build_postings(rows, by_id=True).groupBy("id").agg(F.count_distinct("term").alias("terms"))
     return rows.join(terms, "id").select("id", "terms", F.size("embedding").alias("dim"))
 
 
@@ -154,7 +154,7 @@ def search_type(t: Tables):
 def delete(t: Tables):
     toxic = t.read("labels").filter("toxic = 1").select(F.col("doc_id").alias("id"))
     rows = delete_ids(t.corpus.select("id", "content"), toxic)
-    index = delete_ids(build_postings(t.corpus.select("id", "content")), toxic)
+    index = delete_ids(build_postings(t.corpus.select("id", "content"), by_id=True), toxic)
     return rows.select("id").join(index.groupBy("id").agg(F.count_distinct("term").alias("terms")), "id")
 
 
