@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakeretrieve.functions.vectors import metric_kind
-from lakeretrieve.plans.spread import scan_splits, spread
+from lakeretrieve.plans.spread import input_bytes, scan_splits, spread
 from lakeretrieve.plans.topk import top_per_group
 
 # Largest query block shipped to every executor, and rows per tile beyond it.
@@ -41,6 +41,8 @@ TILE_ROWS = 50_000
 # the corpus rows it looks at.
 MANY_CANDIDATES = 50_000_000
 SAMPLE_ROWS = 1_000_000
+# Distances that a task of the broadcast layout measures, about.
+TASK_DISTANCES = 64_000_000
 # Distances held at once by a task.
 _BLOCK_CELLS = 2 << 20
 _BLOCK_ROWS = 2048
@@ -120,7 +122,8 @@ class _Best:
         if self.below is not None:
             distances[~(distances < self.below)] = np.nan
         bound = self.bound[queries]
-        if distances.shape[1] > self.k:
+        # Where few rows are within the bounds found so far, those are all that is looked at.
+        if distances.shape[1] > self.k and np.count_nonzero(distances <= bound[:, None]) > self.k * len(queries):
             kth = np.partition(distances, self.k - 1, axis=1)[:, self.k - 1]
             bound = np.fmin(bound, kth)
         # NaN compares false, so undefined distances never enter.
@@ -128,15 +131,23 @@ class _Best:
         if not len(row):
             return
         entering = ids[col]
-        query = np.concatenate([self.query, queries[row]])
-        distance = np.concatenate([self.distance, distances[row, col]])
-        all_ids = entering if self.ids is None else np.concatenate([self.ids, entering])
-        order = np.lexsort((np.unique(all_ids, return_inverse=True)[1], distance, query))
+        if self.ids is None:
+            self.ids = entering[:0]
+        # Only the queries that something enters are sorted again, not all of the task.
+        touched = np.zeros(len(self.bound), dtype=bool)
+        touched[queries[row]] = True
+        again = touched[self.query]
+        query = np.concatenate([self.query[again], queries[row]])
+        distance = np.concatenate([self.distance[again], distances[row, col]])
+        some_ids = np.concatenate([self.ids[again], entering])
+        order = np.lexsort((np.unique(some_ids, return_inverse=True)[1], distance, query))
         place = _place_in_run(query[order])
         last = order[place == self.k - 1]
         self.bound[query[last]] = distance[last]
         order = order[place < self.k]
-        self.query, self.distance, self.ids = query[order], distance[order], all_ids[order]
+        self.query = np.concatenate([self.query[~again], query[order]])
+        self.distance = np.concatenate([self.distance[~again], distance[order]])
+        self.ids = np.concatenate([self.ids[~again], some_ids[order]])
 
 
 def _scan(
@@ -202,6 +213,18 @@ def _query_block(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.
     return _ids(table.column("qid")), matrix, _ids(table.column("bound")).astype(np.float64)
 
 
+def _may_be_much(corpus: DataFrame, n_queries: int) -> bool:
+    """Whether the distances could be more than ``TASK_DISTANCES`` a core; a row has four bytes or more."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    return n_queries * (input_bytes(corpus) // 4) > TASK_DISTANCES * cores
+
+
+def _spread_by_work(corpus: DataFrame, tasks: int) -> DataFrame:
+    """Round-robin over ``tasks`` if neither the scan nor the cores give as many."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    return corpus.repartition(tasks) if tasks > max(cores, scan_splits(corpus)) else spread(corpus)
+
+
 def _broadcast_layout(corpus, queries, probes, dim, kind, k, below, out: T.StructType) -> DataFrame:
     spark = corpus.sparkSession
     # Bounded: the caller measured this table against BROADCAST_BYTES.
@@ -323,18 +346,23 @@ def nearest(
 
     def search(rows: DataFrame, asked: DataFrame) -> DataFrame:
         if layout == "broadcast":
-            found = _broadcast_layout(spread(rows), asked, probes, dim, kind, k, below, out)
+            found = _broadcast_layout(_spread_by_work(rows, dealt), asked, probes, dim, kind, k, below, out)
         else:
             found = _tile_layout(rows, asked, probes, size["n"], dim, kind, k, below, out, tile_rows)
         return top_per_group(found, ["qid"], [F.col("distance"), F.col("id")], k)
 
-    tasks = scan_splits(usable) if layout == "broadcast" else None
+    # Every query meets every row where there are no probes, so the work grows with their product.
+    counted = layout == "broadcast" and probes is None and _may_be_much(usable, size["n"])
+    total = usable.count() if counted else None
+    dealt = -(-total * size["n"] // TASK_DISTANCES) if counted else 0
+    tasks = max(scan_splits(usable), dealt) if layout == "broadcast" else None
     if probes is None and within is None:
         # Every task may emit k rows of every query.
-        total = None if tasks is not None and tasks * size["n"] * k <= many_candidates else usable.count()
-        if total is not None and tasks is None:
+        if total is None and (tasks is None or tasks * size["n"] * k > many_candidates):
+            total = usable.count()
+        if tasks is None:
             tasks = -(-total // tile_rows)
-        if total is not None and tasks * size["n"] * k > many_candidates and total > 2 * sample_rows:
+        if tasks * size["n"] * k > many_candidates and total > 2 * sample_rows:
             first = search(usable.sample(sample_rows / total, seed=1), unbounded)
             limits = first.groupBy("qid").agg(
                 F.count(F.lit(1)).alias("n"),
