@@ -75,6 +75,16 @@ def blob_rows(
     )
 
 
+def whole_files(parts: DataFrame) -> DataFrame:
+    """One row a file, with ``size`` and ``value_md5``, from :func:`blob_rows` of file parts that keep ``path, part, md5``."""
+    file = [*ADDRESS, "key", "file_path", "mime_type"]
+    return (
+        parts.groupBy("path", *file)
+        .agg(F.sum("size").alias("size"), F.max_by("md5", "part").alias("value_md5"))
+        .select(*file, "size", "value_md5")
+    )
+
+
 def put_files(store: DataFrame, files: DataFrame) -> DataFrame:
     """Store after the upsert of file rows with ``ord``; the last one wins."""
     keys = ADDRESS + ["key"]

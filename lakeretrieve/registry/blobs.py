@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeretrieve.operators import blobs as op
 from lakeretrieve.registry.base import Tables, query
-from lakeretrieve.sources.files import import_directory
+from lakeretrieve.sources.files import PART_BYTES, import_directory
 
 # Pages are files; the kind of a URL decides the volume they go to.
 _FILES_SQL = """files AS (
@@ -314,7 +314,6 @@ def list_files_volume(t: Tables):
 @query("b13_import_directory")
 def import_files(t: Tables):
     """The table files themselves as a directory of binary files."""
-    files = import_directory(t.spark, t.dir, "*.parquet")
-    return op.blob_rows(files.select("key", "value", "mime_type")).select(
-        "key", "file_path", "mime_type", "size", F.md5("value").alias("value_md5")
-    )
+    files = import_directory(t.spark, t.dir, "*.parquet", PART_BYTES)
+    parts = op.blob_rows(files.select("key", "value", "mime_type", "path", "part", "md5"), keep=["path", "part", "md5"])
+    return op.whole_files(parts).select("key", "file_path", "mime_type", "size", "value_md5")

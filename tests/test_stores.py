@@ -154,6 +154,36 @@ def test_import_files(spark, tmp_path):
     assert [t.content for t in texts] == ["one\ntwo"] and "x.txt" in texts[0].metadata
 
 
+def test_large_files_come_in_parts(spark, tmp_path, monkeypatch):
+    """No row holds more of a file than a part, and size and MD5 are those of whole files."""
+    from lakeretrieve.registry import QUERIES, blobs as registered
+    from lakeretrieve.sources import files
+
+    (tmp_path / "in ner").mkdir()
+    contents = {"in ner/é%20.parquet": b"abc", "even.parquet": b"12345678", "odd.parquet": bytes(range(256)) * 41 + b"x"}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "other.txt").write_text("no")
+    (tmp_path / "none.parquet").write_bytes(b"")
+    parts = import_directory(spark, str(tmp_path), "*.parquet", 4)
+    rows = parts.select("key", "part", "value", "md5").orderBy("key", "part").collect()
+    assert max(len(r.value) for r in rows) == 4
+    for name, content in contents.items():
+        own = [r for r in rows if r.key == name]
+        assert b"".join(bytes(r.value) for r in own) == content
+        assert own[-1].md5 == hashlib.md5(content).hexdigest()
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+    expected = {(n, len(c), hashlib.md5(c).hexdigest()) for n, c in contents.items()}
+    monkeypatch.setattr(registered, "PART_BYTES", 4)
+    for on_disk in (files._on_disk, lambda *_: False):
+        monkeypatch.setattr(files, "_on_disk", on_disk)
+        found = QUERIES["b13_import_directory"](spark, str(tmp_path))
+        assert {(r.key, r["size"], r.value_md5) for r in found.collect()} == expected
+        assert found.columns == ["key", "file_path", "mime_type", "size", "value_md5"]
+
+
 def test_month_folders_prune(spark, tmp_path):
     df = spark.range(400).select("id", F.expr("timestamp'2024-01-01' + make_dt_interval(id)").alias("ts"))
     path = str(tmp_path / "m")
