@@ -15,6 +15,11 @@ def shipped(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if most_rows <= BROADCAST_ROWS else df
 
 
+def unshipped(df: DataFrame) -> DataFrame:
+    """A table that must not be broadcast by the size of its files, which may hold a hundred times as much in memory."""
+    return df.hint("merge")
+
+
 def fetch_rows(hits: DataFrame, table: DataFrame, columns: Sequence[str], most_rows: int) -> DataFrame:
     """Hits with columns of ``table``, joined on ``id``.
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lakeretrieve.plans import blocks
@@ -117,6 +118,26 @@ def test_no_decoded_row_is_shuffled_for_its_id(spark, tmp_path):
     assert Counter(map(tuple, found.collect())) == expected
 
 
+@pytest.mark.parametrize("mode", ["phrase", "all"])
+def test_candidates_are_not_broadcast(spark, tmp_path, mode):
+    """Their files are tiny beside their rows, so Spark would; only their bit map is."""
+    corpus = _corpus(spark, [(i, "a b c " + "x " * (i % 3)) for i in range(60)])
+    index = blocks.write_index(corpus, str(tmp_path / "index"))
+    found = blocks.search_index(index, _queries(spark, [(1, "a b c"), (2, "c x"), (3, "x x")]), None, mode)
+    lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    shipped = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            shipped.append("\n".join(lines[i:end]))
+    assert any("bitmap_construct_agg" in part for part in shipped)
+    for part in shipped:
+        assert "bitmap_construct_agg" in part or "lookups-" not in part and "index/documents" not in part
+    expected = {(1, i) for i in range(60)} | {(2, i) for i in range(60) if i % 3} | {(3, i) for i in range(60) if i % 3 > (mode == "phrase")}
+    assert {(r.qid, r.id) for r in found.collect()} == expected
+
+
 def test_no_slice_reaches_into_another_files_numbers():
     docs = np.array([5, 6, 1 << blocks.NUMBER_BITS, (1 << blocks.NUMBER_BITS) + 1])
     batch = pa.record_batch({"doc": pa.array(docs), "tokens": pa.array([["a"]] * 4)})
