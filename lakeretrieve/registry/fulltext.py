@@ -167,10 +167,8 @@ def postings(t: Tables):
             sum(pos)::BIGINT AS sum_pos FROM p GROUP BY term, id""",
 )
 def block_postings(t: Tables):
-    """Every block of a stored index, read back and decoded."""
-    n = F.count(F.lit(1)).cast("int").alias("n")
-    first, last = F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
-    return _block_index(t).postings().groupBy("term", "id").agg(n, first, last, F.sum("pos").alias("sum_pos"))
+    """Every block of a stored index, read back, decoded and counted."""
+    return _block_index(t).counts().select("term", "id", F.col("n").cast("int").alias("n"), "first_pos", "last_pos", "sum_pos")
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,10 +67,26 @@ def drop_scratch(spark: SparkSession) -> None:
     Call it when their results have been consumed or stored: results that were
     not yet computed read these tables.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    drop_folder(spark, _scratch_root(spark))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes inside delete their shuffle files when they end; their rows are in the written table."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of any executor."""
     shared_dir(df.sparkSession)
@@ -81,6 +99,10 @@ def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     Like a checkpoint it survives lost executors; unlike one it is columnar and
     has a known size, so that later joins are planned on facts.
     """
-    path = scratch_path(df.sparkSession, name)
+    return stored(df, scratch_path(df.sparkSession, name), codec)
+
+
+def stored(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
+    """Rows written to a path and read back."""
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -138,6 +139,48 @@ def test_candidates_are_not_broadcast(spark, tmp_path, mode):
     assert {(r.qid, r.id) for r in found.collect()} == expected
 
 
+def test_an_index_leaves_nothing_but_itself(spark, tmp_path, monkeypatch):
+    """Neither the texts and blocks it is made from nor their shuffles stay on disk."""
+    monkeypatch.setattr(blocks, "scratch_path", lambda _, name: str(tmp_path / "scratch" / name))
+    spark.conf.unset("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {str(f) for f in (local.getAllFiles().apply(i).getName() for i in range(local.getAllFiles().size())) if f.startswith("shuffle")}
+
+    before = shuffled()
+    index = blocks.write_index(_corpus(spark, [(i, f"a b{i}") for i in range(50)]), str(tmp_path / "index"))
+    assert os.listdir(tmp_path / "scratch") == []
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert index.postings().count() == 100 and index.terms.count() == 51
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_counts_are_those_of_the_postings(spark, tmp_path, monkeypatch, repeated):
+    """Ids with several documents, also across slices, are added up; without any, no counted row is shuffled."""
+    monkeypatch.setattr(blocks, "SLICE_DOCUMENTS", 3)
+    draw = random.Random(3)
+    rows = [(i, " ".join(draw.choices("abcdee", k=draw.randint(0, 8)))) for i in range(80)] + [(200, None), (None, "a b a")]
+    if repeated:
+        rows += [(7, "a a"), (None, "b"), *[(40, "a b c")] * 20, (200, "e")]
+    index = blocks.write_index(_corpus(spark, rows), str(tmp_path / "index"))
+    places = {}
+    for id_, text in rows:
+        for at, word in enumerate((text or "").split()):
+            places.setdefault((word, id_), []).append(at)
+    expected = {(*key, len(p), min(p), max(p), sum(p)) for key, p in places.items()}
+    found = index.counts()
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(expected) and set(got) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("hashpartitioning(term" in plan) == repeated
+
+
 def test_no_slice_reaches_into_another_files_numbers():
     docs = np.array([5, 6, 1 << blocks.NUMBER_BITS, (1 << blocks.NUMBER_BITS) + 1])
     batch = pa.record_batch({"doc": pa.array(docs), "tokens": pa.array([["a"]] * 4)})
